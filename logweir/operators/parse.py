@@ -31,8 +31,9 @@ def parse_messages(df, schema, body=BODY, keep=()):
     data = F.from_json(
         F.col(body).cast("string"), checked, {"columnNameOfCorruptRecord": CORRUPT}
     )
-    return df.select(*keep, body, data.alias("data")).select(
-        *keep,
+    read = df.select(*keep, body, data.alias("data"))
+    return read.select(
+        *read.columns[:-2],
         *[F.col(f"data.`{name}`") for name in schema.names],
         body,
         (F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull()).alias("malformed"),

@@ -6,7 +6,13 @@ from logweir.fixed_values import FILE_DAY_FORMAT, FILE_DAY_PATTERN, SOURCE_DIR_P
 
 
 def _pieces(line, sep):
-    return F.split(line, rf"\Q{sep}\E")
+    """The line cut at a literal separator. Splitting at one plain or escaped character needs no
+    regular expression, which would be compiled again for every row."""
+    if len(sep) == 1:
+        pattern = f"\\{sep}" if sep in ".$|()[{^?*+\\" else sep
+    else:
+        pattern = rf"\Q{sep}\E"
+    return F.split(line, pattern)
 
 
 def split_fields(line, names, sep="\t"):

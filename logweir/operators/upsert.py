@@ -45,7 +45,7 @@ def upsert(
     newest = latest_per_key(source, keys, order_by, columns)
     changed = source.where(_keyed(keys)).select(*keys)
     if fits_broadcast(changed, max_broadcast_bytes):
-        kept = target.join(F.broadcast(changed.distinct()), list(keys), "left_anti")
+        kept = target.join(F.broadcast(changed), list(keys), "left_anti")
     else:
         kept = (
             target.where(_keyed(keys))

@@ -100,8 +100,11 @@ def load_checkpoint(spark, path, fmt="parquet"):
 
 def save_checkpoint(spark, path, file_date, last_timegenerated, fmt="parquet"):
     """Replace the checkpoint by this one row."""
-    row = spark.createDataFrame([(file_date, last_timegenerated)], INGEST_CHECKPOINT)
-    replace_table(row.coalesce(1), path, fmt)
+    values = (file_date, last_timegenerated)
+    row = spark.range(0, 1, 1, 1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, INGEST_CHECKPOINT)]
+    )
+    replace_table(row, path, fmt)
 
 
 def read_query_log(spark, job):
@@ -118,10 +121,11 @@ def _stored(schema, *partitions):
 
 def _paths(spark, job, first, last):
     """Existing files of the days from first to last: at most days times directories."""
-    days = spark.range(1).select(F.lit(first).alias("first_day"), F.lit(last).alias("last_day"))
+    days = spark.range(0, 1, 1, 1).select(
+        F.lit(first).alias("first_day"), F.lit(last).alias("last_day")
+    )
     grid = candidate_files(days, job.source, job.directories, job.layout, job.day_format)
-    wanted = [row.path for row in grid.orderBy("day", "directory").select("path").collect()]
-    return existing_paths(spark, wanted)
+    return existing_paths(spark, [row.path for row in grid.select("path").collect()])
 
 
 def _unusable(job):

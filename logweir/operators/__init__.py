@@ -1,6 +1,6 @@
 """DataFrame to DataFrame operators."""
 
-from logweir.operators.enrich import enrich_usage
+from logweir.operators.enrich import enrich_usage, repeated_keys
 from logweir.operators.envelope import add_identity, envelope
 from logweir.operators.parse import parse_messages, parse_query_log, split_malformed
 from logweir.operators.pricing import first_rows, newest_page, price_status
@@ -23,6 +23,7 @@ __all__ = [
     "parse_query_log",
     "preview_layers",
     "price_status",
+    "repeated_keys",
     "since",
     "split_malformed",
     "unseen",

@@ -48,6 +48,8 @@ def enrich_usage(
     return joined.select(*columns, *attributes)
 
 
-def repeated_keys(metadata, keys=("ontology",)):
-    """Keys with more than one row. Empty when a join on them cannot multiply rows."""
-    return metadata.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def repeated_keys(metadata, key="ontology"):
+    """Keys with more than one row. Empty when a join on them cannot multiply rows; a NULL key
+    matches nothing and does not count."""
+    rows = metadata.where(F.col(key).isNotNull()).groupBy(key)
+    return rows.agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -65,17 +65,17 @@ def metadata_rows(messages, job, now=None):
 def run_metadata_upsert(stream, job):
     """Take everything the stream holds now into the metadata table, then stop.
 
-    The batch is parsed once and kept for its two outputs. Batch ids name what is written, so a
-    batch that comes again after a failure replaces its own quarantine rows and leaves the table
-    as it is when it was already in.
+    The batch is kept for its two outputs. Its name marks what is written, so a batch that comes
+    again after a failure replaces its own quarantine rows and leaves the table as it is when it
+    was already in.
     """
     checkpoint = job.checkpoint or default_checkpoint(job.table)
 
-    def take(batch, batch_id):
+    def take(batch, name):
         rows, bad = metadata_rows(batch.persist(), job)
         try:
             if job.quarantine and not bad.isEmpty():
-                write_run(bad, job.quarantine, f"b{batch_id}", job.fmt)
+                write_run(bad, job.quarantine, name, job.fmt)
             if not rows.isEmpty():
                 upsert_table(
                     rows,
@@ -84,7 +84,7 @@ def run_metadata_upsert(stream, job):
                     order_by=[f"_order_{name}" for name in job.order_by],
                     columns=METADATA_GOLD.names,
                     fmt=job.fmt,
-                    token=f"b{batch_id}",
+                    token=name,
                 )
         finally:
             batch.unpersist()

@@ -1,5 +1,6 @@
 """The usage pipeline: messages to bronze to silver as streams, silver and metadata to gold."""
 
+from logweir.operators.enrich import repeated_keys
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_SILVER
 from logweir.sinks.streams import stream_append
 from logweir.sinks.tables import replace_table
@@ -29,8 +30,14 @@ def run_usage_silver(spark, bronze, table, tenant, *, fmt="parquet", limits=None
     return stream_append(silver_rows(rows, tenant), table, fmt, **trigger)
 
 
-def run_usage_gold(spark, silver, metadata, table, *, fmt="parquet", **gold):
-    """Rebuild gold from silver and the current metadata."""
+def run_usage_gold(spark, silver, metadata, table, *, fmt="parquet", unique=True, **gold):
+    """Rebuild gold from silver and the current metadata.
+
+    Metadata with two rows for one ontology would repeat usage rows, so it is refused; with
+    `unique=False` the rows are repeated.
+    """
     rows = read_table(spark, silver, fmt, USAGE_SILVER)
     known = read_table(spark, metadata, fmt, METADATA_GOLD)
+    if unique and not repeated_keys(known).isEmpty():
+        raise ValueError("the metadata has more than one row for an ontology")
     replace_table(gold_rows(rows, known, **gold), table, fmt)

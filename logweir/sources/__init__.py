@@ -2,7 +2,13 @@
 
 from logweir.sources.files import candidate_files, existing_paths, read_json_logs
 from logweir.sources.messages import capture_available, stream_messages
-from logweir.sources.tables import read_table, stream_table, table_exists
+from logweir.sources.tables import (
+    read_table,
+    read_watchlist,
+    rows_table,
+    stream_table,
+    table_exists,
+)
 
 __all__ = [
     "candidate_files",
@@ -10,6 +16,8 @@ __all__ = [
     "existing_paths",
     "read_json_logs",
     "read_table",
+    "read_watchlist",
+    "rows_table",
     "stream_messages",
     "stream_table",
     "table_exists",

@@ -1,5 +1,7 @@
 """Message streams: any streaming source that yields one binary body per message."""
 
+from concurrent.futures import Future
+
 from pyspark.sql import functions as F
 
 BODY = "body"
@@ -22,16 +24,23 @@ def stream_messages(spark, fmt, path=None, schema=None, body=None, **options):
 
 
 def capture_available(stream, each_batch, checkpoint):
-    """Run `each_batch(rows, batch_id)` over everything the stream holds now, then stop.
+    """Run `each_batch(rows, name)` over everything the stream holds now, then stop.
 
     Offsets live in the checkpoint: a later capture starts where this one ended, and a batch
-    that failed midway comes again under the same id.
+    that failed midway comes again under the same name. The name holds the query's own id, which
+    lasts as long as its checkpoint, so a stream begun anew never takes an old batch's name.
     """
+    query_id = Future()
+
+    def named(rows, batch_id):
+        each_batch(rows, f"{query_id.result()}-{batch_id}")
+
     query = (
-        stream.writeStream.foreachBatch(each_batch)
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query_id.set_result(query.id)
     query.awaitTermination()
     return query

@@ -1,6 +1,7 @@
 """Table scans, batch and streaming."""
 
 
+from logweir.schemas import WATCHLIST
 from logweir.sources.folders import names_in
 
 VERSION = "version-"
@@ -50,3 +51,15 @@ def stream_table(spark, path, schema=None, fmt="parquet", **options):
     if schema is not None and fmt != "delta":
         reader = reader.schema(schema)
     return reader.load(path)
+
+
+def rows_table(spark, rows, schema):
+    """A small table from rows the driver has, such as captured dicts or tuples. The schema is
+    required, so no rows is a table too."""
+    return spark.createDataFrame(rows, schema)
+
+
+def read_watchlist(spark, path, fmt="csv"):
+    """Watched products from a delimited file with a header, or from any table format."""
+    reader = spark.read.format(fmt).schema(WATCHLIST)
+    return (reader.option("header", True) if fmt == "csv" else reader).load(path)

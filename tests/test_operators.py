@@ -27,7 +27,8 @@ from logweir.operators.watermark import latest_checkpoint, next_checkpoint, sinc
 from logweir.plans.price_watch import run_price_watch
 from logweir.sinks.tables import append_table, replace_table, upsert_table
 from logweir.sources.files import candidate_files, existing_paths
-from logweir.sources.tables import read_table, table_exists, versions
+from logweir.schemas import WATCHLIST
+from logweir.sources.tables import read_table, read_watchlist, rows_table, table_exists, versions
 
 
 def rows(df):
@@ -307,6 +308,13 @@ def test_price_report(spark, watch, folder):
     assert first_rows(watch[0], ["Model"], 99).count() == 9
 
 
+def test_watchlist_from_a_file(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('Model,URL,Target Price\n"Phone, red",u1,13000\n')
+    row = read_watchlist(spark, str(tmp_path / "w.csv")).first()
+    assert tuple(row) == ("Phone, red", "u1", 13000)
+    assert rows_table(spark, [], WATCHLIST).count() == 0
+
+
 def test_price_text_has_at_least_one_decimal(spark):
     df = spark.createDataFrame([("Rs. 7",), ("7.50",), ("7.123",), ("",), (None,), ("x",)], "t string")
     assert one(df, price_text(parse_price("t"))) == ["7.0", "7.5", "7.123", None, None, None]

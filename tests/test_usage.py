@@ -13,7 +13,7 @@ from logweir.plans.usage import run_usage_bronze, run_usage_gold, run_usage_silv
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT, USAGE_GOLD, USAGE_SILVER
 from logweir.sinks.streams import stream_append
 from logweir.sources.messages import stream_messages
-from logweir.sources.tables import read_table, stream_table
+from logweir.sources.tables import read_table, rows_table
 from logweir.streaming.layers import bronze_rows, gold_rows, malformed_rows, silver_rows
 
 BAD = [None, "", "nonsense", "[1]", '[{"id":"np1"}]', '"text"', "7", '{"id":"np1"', "null"]
@@ -134,6 +134,22 @@ def test_streams_restart_without_loss_or_repeats(spark, folder):
     assert shape(spark.read.parquet(silver).schema) == shape(USAGE_SILVER)
 
 
+def test_gold_refuses_repeated_metadata(spark, folder):
+    silver = silver_rows(bronze_rows(bodies(spark, [event(activity="Download")]), "b"), "t1")
+    silver.write.parquet(f"{folder}/silver")
+    rows = [("onto_1", "a", "1"), ("onto_1", "b", "2"), (None, "c", "3"), (None, "d", "4")]
+    meta = rows_table(spark, rows, "ontology string, filename string, size_in_kb string")
+    meta.write.parquet(f"{folder}/meta")
+    paths = f"{folder}/silver", f"{folder}/meta", f"{folder}/gold"
+    with pytest.raises(ValueError):
+        run_usage_gold(spark, *paths)
+    run_usage_gold(spark, *paths, unique=False)
+    assert read_table(spark, f"{folder}/gold").count() == 2
+    meta.where("filename <> 'b'").write.parquet(f"{folder}/meta2")
+    run_usage_gold(spark, paths[0], f"{folder}/meta2", paths[2])
+    assert read_table(spark, f"{folder}/gold").first().filename == "a"
+
+
 def test_stream_checkpoint_may_not_be_the_table(spark, folder):
     write_messages(f"{folder}/in", "m.json", [event()])
     with pytest.raises(ValueError):
@@ -204,6 +220,40 @@ def test_metadata_id_depends_on_payload_only_unless_asked(spark, capture):
     assert ids(full, times[0]) != ids(full, times[1])
 
 
+def test_batch_that_fails_after_its_write_is_not_applied_twice(spark, capture, monkeypatch):
+    import logweir.plans.metadata as plan
+
+    write, calls = plan.upsert_table, []
+
+    def failing(*args, **kwargs):
+        write(*args, **kwargs)
+        calls.append(kwargs["token"])
+        if len(calls) == 1:
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(plan, "upsert_table", failing)
+    texts = [metadata_event(0, 1, ontology=None), metadata_event(1, 5), "junk"]
+    with pytest.raises(Exception, match="executor lost"):
+        capture(0, texts)
+    run_metadata_upsert(stream_messages(spark, "parquet", capture.inbox, capture.schema), capture.job)
+    assert len(calls) == 2 and len(set(calls)) == 1
+    assert sorted(r.size_in_kb for r in read_table(spark, capture.job.table).collect()) == ["1", "5"]
+    assert spark.read.parquet(capture.job.quarantine).count() == 1
+
+
+def test_stream_begun_anew_is_not_taken_for_a_replay(spark, capture, folder):
+    """Without its checkpoint a capture reads everything again, as its own first batch."""
+    from dataclasses import replace
+
+    capture(0, [metadata_event(1, 5)])
+    capture.sizes()
+    rows = [(9, metadata_event(1, 8))]
+    spark.createDataFrame(rows, capture.schema).write.mode("append").parquet(capture.inbox)
+    anew = replace(capture.job, checkpoint=f"{folder}/other")
+    run_metadata_upsert(stream_messages(spark, "parquet", capture.inbox, capture.schema), anew)
+    assert capture.sizes() == [("onto_1", "8")]
+
+
 def test_empty_capture_writes_nothing(spark, capture, folder):
     from logweir.sources.tables import table_exists
 

@@ -16,6 +16,7 @@ def build_session(app_name="logweir", master=None, **conf):
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.compression.codec": "zstd",
         "spark.ui.enabled": "false",
         **conf,
     }

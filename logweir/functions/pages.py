@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 PRICE_TYPE = "decimal(20,6)"
 
 
+def _first_match(text, pattern):
+    """First match of a pattern, NULL when there is none. Taking it out of the list of matches
+    runs the pattern once; regexp_substr would run it again to tell "no match" apart."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lit(0))
+
+
+def _without_tags(html):
+    return F.regexp_replace(html, r"<[^>]*>", "")
+
+
 def element_text(html, element_id):
     """Text of the first element with this id, without its tags; NULL when there is none.
 
@@ -18,13 +28,12 @@ def element_text(html, element_id):
         r"(?is)<([a-z][a-z0-9]*)(?=\s)[^>]*?\sid\s*=\s*"
         rf"(?:\"{name}\"|'{name}'|{name}(?=[\s>]))[^>]*>.*?</\1\s*>"
     )
-    return F.regexp_replace(F.regexp_substr(html, F.lit(element)), r"<[^>]*>", "")
+    return _without_tags(_first_match(html, element))
 
 
 def page_title(html):
     """Text of the title element, NULL when there is none."""
-    title = F.regexp_substr(html, F.lit(r"(?is)<title[^>]*>.*?</title\s*>"))
-    return F.trim(F.regexp_replace(title, r"<[^>]*>", ""))
+    return F.trim(_without_tags(_first_match(html, r"(?is)<title[^>]*>.*?</title\s*>")))
 
 
 def parse_price(text):
@@ -34,7 +43,7 @@ def parse_price(text):
     """
     plain = F.regexp_replace(text, r"&#?[A-Za-z0-9]+;", " ")
     digits = F.regexp_replace(F.regexp_replace(plain, r"^[^0-9]+", ""), ",", "")
-    return F.regexp_replace(digits, r"[\s ]+$", "").try_cast(PRICE_TYPE)
+    return F.regexp_replace(digits, r"[\s\u00A0]+$", "").try_cast(PRICE_TYPE)
 
 
 def price_text(price):

@@ -316,7 +316,7 @@ def test_watchlist_from_a_file(spark, tmp_path):
 
 
 def test_price_text_has_at_least_one_decimal(spark):
-    df = spark.createDataFrame([("Rs. 7",), ("7.50",), ("7.123",), ("",), (None,), ("x",)], "t string")
+    df = spark.createDataFrame([("Rs. 7",), ("7.50\u00a0",), ("7.123",), ("",), (None,), ("x",)], "t string")
     assert one(df, price_text(parse_price("t"))) == ["7.0", "7.5", "7.123", None, None, None]
 
 

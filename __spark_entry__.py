@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import bindings as B
 from logweir import functions as X
 from logweir import operators as O
 from logweir.fixed_values import METADATA_FIELDS, QUERY_LOG_FIELDS, USAGE_FIELDS
@@ -35,6 +34,8 @@ from logweir.sinks import append_table, replace_table, upsert_table
 from logweir.sources import candidate_files, read_json_logs, read_table
 from logweir.sources.messages import BODY
 from logweir.streaming import bronze_rows, gold_rows, silver_rows
+from logweir_queries import bindings as B
+from logweir_queries.sql import SQL
 
 MARK = "2024-01-15 00:00:00"
 TAGS = {"tenant": "tenant-1", "log_type": "logm.denodo.queries", "table_type": "LOGM_DENODO_QUERIES_CL"}
@@ -481,6 +482,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     """The same rows in SQL over the same tables."""
-    from oracle import SQL
-
     return dict(SQL)

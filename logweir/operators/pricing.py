@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from logweir.fixed_values import PRICE_BELOW, PRICE_ELEMENT_IDS, PRICE_NOT_BELOW
 from logweir.functions import element_text, parse_price, price_text
-from logweir.operators.joins import bounded_join
+from logweir.operators.joins import BROADCAST_BYTES, fits_broadcast, skew_safe_join
 
 PRICE_MISSING = "Price not found"
 
@@ -31,16 +31,34 @@ def first_rows(df, order_by, n=5):
 
 
 def price_status(
-    watchlist, pages, *, order_by="page_id", element_ids=PRICE_ELEMENT_IDS, keep=(), **join
+    watchlist,
+    pages,
+    *,
+    order_by="page_id",
+    element_ids=PRICE_ELEMENT_IDS,
+    keep=(),
+    max_broadcast_bytes=BROADCAST_BYTES,
+    **skew,
 ):
     """Every watched product with its current price, status and report line.
 
     Below the target means strictly below; the target counts in whole units. A product without a
     page, or whose page has no readable price, is reported as such.
+
+    When the watched urls are measured to be small, pages of other urls are left out before
+    anything is parsed, and the prices, at most one per watched url, are broadcast. Otherwise
+    prices and products meet by shuffle, with hot urls of the watchlist split.
     """
-    prices = newest_page(pages, order_by, element_ids).withColumnRenamed("url", "URL")
     watched = watchlist.withColumn("target", F.col("Target Price").cast("int"))
-    rows = bounded_join(watched, prices, ["URL"], "left", **join)
+    urls = watchlist.select(F.col("URL").alias("url"))
+    small = fits_broadcast(urls, max_broadcast_bytes)
+    if small:
+        pages = pages.join(F.broadcast(urls), "url", "left_semi")
+    prices = newest_page(pages, order_by, element_ids).withColumnRenamed("url", "URL")
+    if small:
+        rows = watched.join(F.broadcast(prices), "URL", "left")
+    else:
+        rows = skew_safe_join(watched, prices, ["URL"], "left", **skew)
     status = (
         F.when(F.col("price").isNull(), PRICE_MISSING)
         .when(F.col("price") < F.col("target"), PRICE_BELOW)

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import functions as F
 
-import bindings as B
+import logweir_queries.bindings as B
 from logweir import operators as O
 from logweir.operators.joins import skew_safe_join
 from logweir.plans import (

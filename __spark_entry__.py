@@ -250,7 +250,8 @@ def metadata_capture(spark, sf):
 def _event_stream(spark, sf, bind):
     """The events table as a stream. A glob stands for one file as well as for a folder of them."""
     schema = B.table(spark, sf, "events").schema
-    return bind(spark.readStream.schema(schema).parquet(f"{sf}/{{events}}.parquet"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000)
+    return bind(stream.parquet(f"{sf}/{{events}}.parquet"))
 
 
 # ---- usage layers --------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from logweir.operators.enrich import enrich_usage, repeated_keys
 from logweir.operators.envelope import add_identity, envelope
 from logweir.operators.parse import parse_messages, parse_query_log, split_malformed
 from logweir.operators.pricing import first_rows, newest_page, price_status
-from logweir.operators.sequence import dense_sequence
+from logweir.operators.sequence import dense_sequence, nine_digit_sequence
 from logweir.operators.upsert import latest_per_key, upsert
 from logweir.operators.validate import preview_layers, validate_layers
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint, since, unseen
@@ -19,6 +19,7 @@ __all__ = [
     "latest_per_key",
     "newest_page",
     "next_checkpoint",
+    "nine_digit_sequence",
     "parse_messages",
     "parse_query_log",
     "preview_layers",

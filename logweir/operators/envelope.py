@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from logweir.functions import content_id, dense_guid, minute_stamp, numeric_stamp, stable_guid
-from logweir.operators.sequence import dense_sequence
+from logweir.operators.sequence import nine_digit_sequence
 
 SEQUENCE = "_sequence"
 
@@ -35,14 +35,14 @@ def envelope(
     `time` and `source` name the event-time and source columns; both move into the envelope.
     `id_columns` are hashed for the content id (default: all columns, in order). `guid` is
     "stable" (hash of the content id, the same in every run, allowed on streams) or "dense"
-    (event minute and a gapless number within the run, batch only). Without `with_id` the
+    (event minute and a nine-digit number within the run, batch only). Without `with_id` the
     envelope has neither id. `now` is the ingest time.
     """
     now = F.current_timestamp() if now is None else now
     payload = [name for name in df.columns if name not in (time, source)]
     content = content_id(id_columns or df.columns, bits)
     if with_id and guid == "dense":
-        df = dense_sequence(df, SEQUENCE)
+        df = nine_digit_sequence(df, SEQUENCE, minute_stamp(F.col(time)))
     columns = [
         *payload,
         F.lit(log_type).alias("MetadataLogType"),
@@ -65,7 +65,7 @@ def add_identity(df, time="MetadataLogTimeGenerated", id_columns=None, bits=512,
     columns = df.columns
     content = content_id(id_columns or columns, bits)
     if guid == "dense":
-        df = dense_sequence(df, SEQUENCE)
+        df = nine_digit_sequence(df, SEQUENCE, minute_stamp(F.col(time)))
     return df.select(
         *columns,
         content.alias("MetadataLogId"),

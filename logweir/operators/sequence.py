@@ -5,31 +5,50 @@ from pyspark.sql import functions as F
 
 from logweir.session import ensure_checkpoint_dir
 
-MAX_ROWS = 10**9
+NINE_DIGITS = 10**9
 ROW_BITS = 33
 
 
-def dense_sequence(df, name, max_rows=MAX_ROWS):
-    """Number the rows of one run 0, 1, 2, ... in partition order.
-
-    Each row's number is its place in its partition plus the rows of the partitions before. The
-    frame is first written to the checkpoint folder, so that counting and numbering see the same
-    partitions even when an executor is lost in between. Only one count per partition is shuffled
-    and broadcast. Fails beyond `max_rows`, since the number has nine digits in the row id.
-    """
+def _numbered(df, name):
+    """(rows with their number, number of rows)"""
     ensure_checkpoint_dir(df.sparkSession)
     fixed = df.checkpoint()
     counts = fixed.groupBy(F.spark_partition_id().alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
-    if total > max_rows:
-        raise ValueError(f"{total} rows do not fit a nine-digit sequence; use the stable row id")
     ahead = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_at", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**ROW_BITS - 1))
-    return (
+    rows = (
         fixed.withColumn("_at", F.spark_partition_id())
         .withColumn("_place", place)
         .join(F.broadcast(starts), "_at")
         .withColumn(name, F.col("_start") + F.col("_place"))
         .drop("_at", "_place", "_start")
     )
+    return rows, total
+
+
+def dense_sequence(df, name):
+    """Number the rows 0, 1, 2, ... in partition order.
+
+    Each row's number is its place in its partition plus the rows of the partitions before. The
+    frame is first written to the checkpoint folder, so that counting and numbering see the same
+    partitions even when an executor is lost in between. Only one count per partition is shuffled
+    and broadcast.
+    """
+    return _numbered(df, name)[0]
+
+
+def nine_digit_sequence(df, name, minute, limit=NINE_DIGITS):
+    """Row numbers below `limit` that are unique within every minute.
+
+    Up to `limit` rows they are the dense sequence. Beyond it the numbers wrap, which keeps them
+    unique as long as the rows of each minute lie less than `limit` rows apart, as they do in
+    logs stored in time order. That is checked, and fails otherwise.
+    """
+    rows, total = _numbered(df, name)
+    if total > limit:
+        span = (F.max(name) - F.min(name)).alias("span")
+        if rows.groupBy(minute).agg(span).agg(F.max("span")).first()[0] >= limit:
+            raise ValueError(f"{total} rows do not fit {limit} numbers; use the stable row id")
+    return rows.withColumn(name, F.col(name) % limit)

@@ -20,7 +20,7 @@ from logweir.operators.envelope import add_identity
 from logweir.operators.joins import fits_broadcast, skew_safe_join
 from logweir.operators.parse import parse_query_log
 from logweir.operators.pricing import first_rows, price_status
-from logweir.operators.sequence import dense_sequence
+from logweir.operators.sequence import dense_sequence, nine_digit_sequence
 from logweir.operators.upsert import latest_per_key, upsert
 from logweir.operators.validate import preview_layers, validate_layers
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint, since, unseen
@@ -165,8 +165,17 @@ def test_dense_sequence_over_many_partitions(spark):
     df = spark.range(0, 101, 1, 7).where("id % 3 != 0")
     got = dense_sequence(df, "n")
     assert sorted(one(got, "n")) == list(range(67)) and got.columns == ["id", "n"]
+
+
+def test_nine_digit_sequence_wraps_only_where_minutes_stay_apart(spark):
+    df = spark.range(0, 100, 1, 7).withColumn("minute", F.floor(F.col("id") / 5))
+    got = nine_digit_sequence(df, "n", F.col("minute"), limit=10)
+    assert max(one(got, "n")) == 9 and got.select("minute", "n").distinct().count() == 100
+    whole = nine_digit_sequence(df, "n", F.col("minute"), limit=100)
+    assert sorted(one(whole, "n")) == list(range(100))
+    mixed = df.withColumn("minute", F.col("id") % 5)
     with pytest.raises(ValueError):
-        dense_sequence(df, "n", max_rows=10)
+        nine_digit_sequence(mixed, "n", F.col("minute"), limit=10)
 
 
 def test_dense_guid_overflow_is_null(spark):

@@ -464,6 +464,28 @@ QUERIES = {
 }
 
 
+def _llm():
+    """Queries of the training-data operators and their SQL; none where that subpackage is gone."""
+    try:
+        import corpus_pipeline
+        from logweir.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "logweir.llm", "logweir.llm.queries"):
+            raise
+        return {}, {}
+    except ImportError as error:  # a folder left without its modules
+        if error.name != "logweir.llm":
+            raise
+        return {}, {}
+    sql = dict(llm.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
+LLM_QUERIES, LLM_SQL = _llm()
+
+
 def _pinned(query):
     def run(spark, sf_dir):
         return query(pin_utc(spark), sf_dir)
@@ -473,7 +495,7 @@ def _pinned(query):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or job; each takes (spark, sf_dir)."""
-    return {name: _pinned(query) for name, query in QUERIES.items()}
+    return {name: _pinned(query) for name, query in {**QUERIES, **LLM_QUERIES}.items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -483,4 +505,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     """The same rows in SQL over the same tables."""
-    return dict(SQL)
+    return {**SQL, **LLM_SQL}

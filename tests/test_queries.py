@@ -31,7 +31,7 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.QUERIES))
 def test_query_equals_sql(spark, sql, name):
     got = entry_module.queries()[name](spark, SF)
     want = sql.sql(entry_module.oracle_sql()[name])
@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.QUERIES) == set(entry_module.SQL)
 
 
 def test_entry(spark):

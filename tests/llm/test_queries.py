@@ -1,0 +1,39 @@
+"""Registered queries against their SQL, and the pipeline's stages."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_module
+import corpus_pipeline
+from logweir.llm.queries import QUERIES, SQL
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for file in os.listdir(SF):
+        con.sql(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{file}'")
+    want = con.sql(SQL[name])
+    got = QUERIES[name](spark, SF).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_registered():
+    assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
+    assert [name[: name.index("_")] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, SF), f"test-{name}")
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] >= counts[1] >= counts[2] >= counts[3] > 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.where("piece = 0").count() == counts[4]

@@ -79,7 +79,7 @@ def _first_shared(n_words, max_bits):
         for shift, width in reversed(segments):
             part = differs.bitwiseAND(_mask(width, shift))
             # the place of a single bit: the number of bits below it
-            bit = F.when(part == 0, F.lit(shift)).otherwise(F.bit_count(part - 1))
+            bit = F.when(part == 0, shift).when(part < 0, BITS - 1).otherwise(F.bit_count(part - 1))
             inner = F.when(F.bit_count(part) <= 1, bit).otherwise(inner)
         close = F.bit_count(differs) <= max_bits
         found = F.when(close, inner + word * BITS).otherwise(found)
@@ -105,7 +105,9 @@ def _variants(classes, n_words, max_bits):
 def close_pairs(classes, n_words, max_bits, max_total=None):
     """Pairs of classes of which a word differs in at most `max_bits` bits, and all words together
     in at most `max_total`: one row a pair."""
-    indexed = _variants(classes, n_words, max_bits)
+    # a class has many variants, so even a small table of classes is work for all tasks
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    indexed = _variants(classes.repartition(tasks, "words"), n_words, max_bits)
     a, b = indexed.alias("a"), indexed.alias("b")
     distances = _differing(n_words)
     verified = (

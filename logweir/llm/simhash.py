@@ -4,7 +4,8 @@ A fingerprint is cut into so few segments that of two fingerprints within the di
 one segment differs in one bit or none. Each segment is indexed with each of its bits left out in
 turn; equal variants meet in an equality join, which verifies the distance. A pair that meets under
 several variants counts at the first that it must share. Equal fingerprints are one class, so
-copies make no pairs. Components are the classes' smallest labels, spread by alternating star steps.
+copies make no pairs, and groups of near copies that a cheap first look ties together make none
+within them. Components are the classes' smallest labels, spread by alternating star steps.
 """
 
 import numpy as np
@@ -98,28 +99,51 @@ def _variants(classes, n_words, max_bits):
                 variants.append(
                     F.struct(F.lit(word * BITS + bit).cast("int").alias("variant"), kept.alias("rest"))
                 )
-    exploded = classes.select("words", F.explode(F.array(*variants)).alias("v"))
-    return exploded.select("words", "v.variant", "v.rest")
+    exploded = classes.select("words", "crowd", F.explode(F.array(*variants)).alias("v"))
+    return exploded.select("words", "crowd", "v.variant", "v.rest")
+
+
+def _is_close(distances, max_bits, max_total):
+    close = (F.least(*distances) if len(distances) > 1 else distances[0]) <= max_bits
+    return close if max_total is None else close & (sum(distances[1:], distances[0]) <= max_total)
+
+
+def crowd_links(classes, n_words, max_bits, max_total=None):
+    """Some of the close pairs, few for each class: of the classes that agree in half a word, the
+    smallest with each other one that is close to it. They tie large groups of near copies."""
+    halves = [
+        F.struct(F.lit(2 * word + half).alias("half"), F.expr(f"words[{word}]").bitwiseAND(_mask(32, 32 * half)).alias("value"))
+        for word in range(n_words)
+        for half in range(2)
+    ]
+    agreeing = classes.select("words", F.explode(F.array(*halves)).alias("h")).select("words", "h.half", "h.value")
+    smallest = agreeing.groupBy("half", "value").agg(F.min("words").alias("words"), F.count(F.lit(1)).alias("n"))
+    a = smallest.where("n > 1").alias("a")
+    b = agreeing.alias("b")
+    same = (F.col("a.half") == F.col("b.half")) & (F.col("a.value") == F.col("b.value"))
+    close = _is_close(_differing(n_words), max_bits, max_total) & (F.col("a.words") < F.col("b.words"))
+    return a.join(b, same & close).select(F.col("a.words").alias("one"), F.col("b.words").alias("two"))
 
 
 def close_pairs(classes, n_words, max_bits, max_total=None):
     """Pairs of classes of which a word differs in at most `max_bits` bits, and all words together
-    in at most `max_total`: one row a pair."""
+    in at most `max_total`: one row a pair. Classes of one `crowd`, where they have one, are linked
+    already and make no pairs."""
+    if "crowd" not in classes.columns:
+        classes = classes.withColumn("crowd", F.lit(None).cast("array<long>"))
     # a class has many variants, so even a small table of classes is work for all tasks
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     indexed = _variants(classes.repartition(tasks, "words"), n_words, max_bits)
     a, b = indexed.alias("a"), indexed.alias("b")
-    distances = _differing(n_words)
+    apart = F.col("a.crowd").isNull() | F.col("b.crowd").isNull() | (F.col("a.crowd") != F.col("b.crowd"))
     verified = (
         (F.col("a.variant") == F.col("b.variant"))
         & (F.col("a.rest") == F.col("b.rest"))
         & (F.col("a.words") < F.col("b.words"))
-        & (F.least(*distances) <= max_bits if n_words > 1 else distances[0] <= max_bits)
+        & _is_close(_differing(n_words), max_bits, max_total)
         & (_first_shared(n_words, max_bits) == F.col("a.variant"))
     )
-    if max_total is not None:
-        verified &= sum(distances[1:], distances[0]) <= max_total
-    return a.join(b, verified).select(F.col("a.words").alias("one"), F.col("b.words").alias("two"))
+    return a.join(b, verified & apart).select(F.col("a.words").alias("one"), F.col("b.words").alias("two"))
 
 
 def components(nodes, edges):
@@ -175,8 +199,15 @@ def simhash_components(
         "simhash-words",
     )
     classes = written(marked.groupBy("words").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    pairs = close_pairs(classes, n_words, max_bits, max_total)
-    rooted = components(classes.select(F.col("words").alias("node")), pairs)
+    nodes = classes.select(F.col("words").alias("node"))
+    links = written(crowd_links(classes, n_words, max_bits, max_total), "simhash-crowds")
+    crowds = components(nodes, links)
+    members = crowds.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    crowds = crowds.join(members.where("n > 1"), "root", "left").select(
+        F.col("node").alias("words"), F.when(F.col("n") > 1, F.col("root")).alias("crowd")
+    )
+    pairs = close_pairs(written(crowds, "simhash-crowded"), n_words, max_bits, max_total)
+    rooted = components(nodes, links.unionByName(pairs))
     joined = rooted.join(classes, F.col("node") == F.col("words"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = joined.join(smallest, "root").select("words", "component_id")

@@ -28,7 +28,7 @@ from logweir.plans import (
     run_usage_silver,
 )
 from logweir.plans.query_log import read_query_log
-from logweir.schemas import METADATA_GOLD, USAGE_EVENT, USAGE_SILVER
+from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
 from logweir.session import pin_utc, work_folder
 from logweir.sinks import append_table, replace_table, upsert_table
 from logweir.sources import candidate_files, read_json_logs, read_table
@@ -317,6 +317,7 @@ def usage_stream_gold(spark, sf):
 
 
 def layer_validation(spark, sf):
+    """Against the declared schemas; silver is held against bronze's, which it must not match."""
     bronze = _bronze(spark, sf, keep_malformed=True)
     silver = _silver(spark, sf)
     part = B.metadata(B.table(spark, sf, "part"))
@@ -324,7 +325,7 @@ def layer_validation(spark, sf):
     return O.validate_layers(
         {"bronze": bronze, "silver": silver, "metadata": part, "gold": gold},
         keys={"bronze": ["id"], "silver": ["id"], "metadata": ["ontology"], "gold": ["filename"]},
-        schemas={"bronze": bronze.schema, "silver": bronze.schema},
+        schemas={"bronze": USAGE_BRONZE, "silver": USAGE_BRONZE},
         follows={"silver": "bronze", "gold": "silver"},
     )
 
@@ -391,7 +392,8 @@ def table_replace(spark, sf):
     """The second version is made from the first."""
     path = f"{work_folder(spark, 'replace')}/orders"
     replace_table(B.table(spark, sf, "orders"), path)
-    replace_table(read_table(spark, path).where("o_orderstatus = 'F'"), path)
+    raised = read_table(spark, path).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    replace_table(raised, path)
     return read_table(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 

@@ -1,14 +1,13 @@
 """Equi-joins that neither broadcast a side of unknown size nor let a hot key sit in one task."""
 
 from functools import reduce
-from math import ceil
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from logweir.session import ensure_checkpoint_dir
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 1000
 
 
 def _row_bytes(df):
@@ -34,49 +33,37 @@ def _no_null(keys):
     return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
 
-def _hot_keys(left, keys, rows_per_task, max_hot_keys):
-    """Keys of `left` with more than `rows_per_task` rows and at least 1/`max_hot_keys` of all
-    rows, each with the number of parts to split it into. There cannot be more than
-    `max_hot_keys` of them, which bounds both what comes to the driver and what is broadcast.
-    """
-    total = Observation()
+def _hot_keys(left, keys, rows_per_task):
+    """Keys of `left` with more than `rows_per_task` rows, each with the number of parts to split
+    it into. There are at most rows / rows_per_task of them; they stay a frame, worked out once."""
+    ensure_checkpoint_dir(left.sparkSession)
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = (
-        counts.observe(total, F.sum("_n").alias("n"))
-        .orderBy(F.desc("_n"))
-        .limit(max_hot_keys)
-        .where(F.col("_n") > rows_per_task)
-        .collect()
-    )
-    floor = (total.get["n"] or 0) / max_hot_keys if top else 0
-    return [(*row[:-1], ceil(row[-1] / rows_per_task)) for row in top if row[-1] >= floor]
-
-
-def skew_safe_join(
-    left, right, keys, how="left", rows_per_task=ROWS_PER_TASK, max_hot_keys=MAX_HOT_KEYS
-):
+    parts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts")
+    return counts.where(F.col("_n") > rows_per_task).select(*keys, parts).checkpoint()
+
+
+def skew_safe_join(left, right, keys, how="left", rows_per_task=ROWS_PER_TASK):
     """Left outer, left anti, left semi or inner equi-join with hot left keys split over tasks.
 
     A hot key's left rows are spread over as many parts as its size asks for and its right rows
     are repeated once per part, so every left row still meets every right row of its key exactly
-    once. Rows with a NULL key match nothing and do not enter the shuffle. The part comes from
-    the map task's number, which a retried task has again, so losing an executor changes nothing.
+    once. Rows with a NULL key match nothing and do not enter the shuffle. The part comes from the
+    row's content and the map task's number, which a retried task has again: rows that differ are
+    spread even if one map task holds them all, and equal rows as far as tasks do.
     """
     if how not in ("left", "left_anti", "left_semi", "inner"):
         raise ValueError(f"unsupported join: {how}")
-    spark = left.sparkSession
     keyed = left.where(_no_null(keys))
-    hot = _hot_keys(keyed, keys, rows_per_task, max_hot_keys)
-    if hot:
-        schema = ", ".join(
-            [f"`{key}` {left.schema[key].dataType.simpleString()}" for key in keys]
-            + ["_parts int"]
-        )
-        parts = F.broadcast(spark.createDataFrame(hot, schema))
+    parts = _hot_keys(keyed, keys, rows_per_task)
+    if not parts.isEmpty():
+        if fits_broadcast(parts):
+            parts = F.broadcast(parts)
+        content = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        place = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in content])
         n_parts = F.coalesce(F.col("_parts"), F.lit(1))
         keyed = (
             keyed.join(parts, list(keys), "left")
-            .withColumn("_part", F.pmod(F.spark_partition_id(), n_parts))
+            .withColumn("_part", F.pmod(place, n_parts).cast("int"))
             .drop("_parts")
         )
         right = (

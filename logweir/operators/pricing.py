@@ -26,8 +26,9 @@ def newest_page(pages, order_by="page_id", element_ids=PRICE_ELEMENT_IDS):
 
 
 def first_rows(df, order_by, n=5):
-    """The first n rows in the given order."""
-    return df.orderBy(*order_by).limit(n)
+    """The first n rows in the given order; ties go by all columns, so that every evaluation takes
+    the same rows."""
+    return df.orderBy(*order_by, *[F.col(f"`{name}`") for name in df.columns]).limit(n)
 
 
 def price_status(

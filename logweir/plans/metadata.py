@@ -8,6 +8,7 @@ from logweir.fixed_values import METADATA_FIELDS, METADATA_LOG_TYPE, METADATA_TA
 from logweir.operators.envelope import envelope
 from logweir.operators.parse import parse_messages
 from logweir.schemas import METADATA_EVENT, METADATA_GOLD
+from logweir.session import pin_utc
 from logweir.sinks.streams import default_checkpoint
 from logweir.sinks.tables import upsert_table, write_run
 from logweir.sources.messages import BODY, capture_available
@@ -69,6 +70,7 @@ def run_metadata_upsert(stream, job):
     again after a failure replaces its own quarantine rows and leaves the table as it is when it
     was already in.
     """
+    pin_utc(stream.sparkSession)
     checkpoint = job.checkpoint or default_checkpoint(job.table)
 
     def take(batch, name):

@@ -27,7 +27,8 @@ from logweir.operators.envelope import envelope
 from logweir.operators.parse import parse_query_log
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint_columns, since, unseen
 from logweir.schemas import CORRUPT, INGEST_CHECKPOINT, QUERY_LOG_OUT, QUERY_LOG_QUARANTINE
-from logweir.sinks.tables import replace_table, write_run
+from logweir.session import pin_utc, work_folder
+from logweir.sinks.tables import published_number, replace_table, write_run
 from logweir.sources.files import candidate_files, existing_paths, read_json_logs
 from logweir.sources.tables import read_table, table_exists
 
@@ -98,13 +99,13 @@ def load_checkpoint(spark, path, fmt="parquet"):
     return (None, None) if row is None else (row.day, _moment(row.micros))
 
 
-def save_checkpoint(spark, path, file_date, last_timegenerated, fmt="parquet"):
-    """Replace the checkpoint by this one row."""
+def save_checkpoint(spark, path, file_date, last_timegenerated, fmt="parquet", number=0):
+    """Replace the checkpoint by this one row. `number` tells checkpoints with one mark apart."""
     values = (file_date, last_timegenerated)
     row = spark.range(0, 1, 1, 1).select(
         *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, INGEST_CHECKPOINT)]
     )
-    replace_table(row, path, fmt)
+    replace_table(row, path, fmt, token=str(number))
 
 
 def read_query_log(spark, job):
@@ -162,6 +163,10 @@ def _late(spark, lines, job, now, mark, run_id):
     """Lines from the lateness window below the mark that earlier runs have not stored."""
     window = (F.col(TIME) > F.lit(mark - job.allowed_lateness)) & (F.col(TIME) <= F.lit(mark))
     rows = _output(lines.where(window), job, now)
+    # each line is split and hashed once; the look-up sees ids and not what they are made of
+    staged = work_folder(spark, "late-lines")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
     stored = read_table(spark, job.table, job.fmt, _stored(QUERY_LOG_OUT, "log_day date"))
     floor = mark - job.allowed_lateness
     known = stored.where(
@@ -206,15 +211,19 @@ def _quarantine(spark, paths, job, run_id, first_bad, last_bad):
 def run_query_log_etl(spark, job, last_day, now=None):
     """Take the lines that are new since the checkpoint, up to the files of `last_day`.
 
-    A run is named after the mark it starts from. If it dies before the checkpoint is saved, the
-    next run starts from the same mark, has the same name and replaces what the first one wrote.
+    A run is named after the checkpoint it starts from: its mark, and how often in a row
+    that has been saved. If it dies before it saves its own, the next run starts from the same one, has the same name and replaces what the
+    first one wrote. A run that stored rows saves a checkpoint even if they leave the mark where it
+    was, as late ones do, so no later run has its name.
     """
+    pin_utc(spark)
     day, mark = load_checkpoint(spark, job.checkpoint, job.fmt)
     first_day = (day - timedelta(days=ceil(job.allowed_lateness / DAY))) if day else job.first_day
     paths = _paths(spark, job, first_day, last_day)
     if not paths:
         return RunResult("EMPTY")
-    run_id = f"after-{mark:%Y%m%dT%H%M%S%f}" if mark else "first"
+    number = published_number(spark, job.checkpoint, job.fmt)
+    run_id = f"after-{mark:%Y%m%dT%H%M%S%f}-{number}" if mark else "first"
 
     lines = read_json_logs(spark, paths)
     reason = _unusable(job)
@@ -248,5 +257,6 @@ def run_query_log_etl(spark, job, last_day, now=None):
     top = max(filter(None, [_moment(stored["micros"]), mark]))
     days = filter(None, [stored["file_date"], day and f"{day:%Y%m%d}"])
     result = RunResult("OK", stored["n_rows"], seen["n_unusable"], max(days, default=None), top)
-    save_checkpoint(spark, job.checkpoint, result.file_date, top, job.fmt)
+    number = number + 1 if top == mark else 0
+    save_checkpoint(spark, job.checkpoint, result.file_date, top, job.fmt, number)
     return result

@@ -2,6 +2,7 @@
 
 from logweir.operators.enrich import repeated_keys
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_SILVER
+from logweir.session import pin_utc
 from logweir.sinks.streams import stream_append
 from logweir.sinks.tables import replace_table
 from logweir.sources.tables import read_table, stream_table
@@ -16,6 +17,7 @@ def run_usage_bronze(
     With a quarantine table, malformed messages go there through a second query. Each query has
     its own checkpoint, so either can stop and resume without the other.
     """
+    pin_utc(messages.sparkSession)
     rows = bronze_rows(messages, label, keep_malformed=keep_malformed)
     queries = [stream_append(rows, table, fmt, **trigger)]
     if quarantine:
@@ -26,6 +28,7 @@ def run_usage_bronze(
 def run_usage_silver(spark, bronze, table, tenant, *, fmt="parquet", limits=None, **trigger):
     """Start the bronze to silver stream; returns the running query. `limits` bounds one
     micro-batch, such as {"maxFilesPerTrigger": 1000}."""
+    pin_utc(spark)
     rows = stream_table(spark, bronze, USAGE_BRONZE, fmt, **(limits or {}))
     return stream_append(silver_rows(rows, tenant), table, fmt, **trigger)
 
@@ -36,6 +39,7 @@ def run_usage_gold(spark, silver, metadata, table, *, fmt="parquet", unique=True
     Metadata with two rows for one ontology would repeat usage rows, so it is refused; with
     `unique=False` the rows are repeated.
     """
+    pin_utc(spark)
     rows = read_table(spark, silver, fmt, USAGE_SILVER)
     known = read_table(spark, metadata, fmt, METADATA_GOLD)
     if unique and not repeated_keys(known).isEmpty():

@@ -43,6 +43,16 @@ def write_run(df, path, run_id, fmt="parquet", partition_by=()):
         )
 
 
+def published_number(spark, path, fmt="parquet"):
+    """The number that the newest version carries as its token, 0 when it has none. Delta numbers
+    its versions itself."""
+    if not table_exists(spark, path, fmt):
+        return 0
+    if fmt == "delta":
+        return spark.sql(f"DESCRIBE HISTORY delta.`{path}` LIMIT 1").first()["version"]
+    return int(published_token(spark, path) or 0)
+
+
 def published_token(spark, path):
     """Token of the newest version, None when it has none."""
     done = versions(spark, path)

@@ -276,7 +276,7 @@ SQL = {
       FROM events WHERE event_id % 50 > 1""",
     "table_append": "SELECT event_id, ts, event_type, value FROM events",
     "table_replace": """
-      SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+      SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders""",
     "price_status": PRICES,
     "price_status_shuffled": PRICES,
     "price_top_n": f"SELECT Model, status, line FROM ({PRICES}) ORDER BY Model LIMIT 5",

@@ -47,22 +47,41 @@ def test_skew_safe_join_equals_the_plain_join(spark, how):
     right = [("hot", 1), ("hot", 2)] + [(f"k{i}", i) for i in range(0, 20, 2)] + [(None, 5)]
     lf = spark.createDataFrame(left, "k string, v int").repartition(6)
     rf = spark.createDataFrame(right, "k string, w int")
-    got = skew_safe_join(lf, rf, ["k"], how, rows_per_task=50, max_hot_keys=10)
+    got = skew_safe_join(lf, rf, ["k"], how, rows_per_task=50)
     assert rows(got) == rows(lf.join(rf, "k", how))
 
 
 def test_skew_safe_join_splits_the_hot_key(spark):
-    left = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), "id")
+    largest(spark, spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), "id"), 500)
+
+
+def test_skew_safe_join_splits_rows_of_one_map_task(spark):
+    largest(spark, spark.range(0, 10_000, 1, 1).select(F.lit("hot").alias("k"), "id"), 1000)
+
+
+def test_skew_safe_join_splits_thousands_of_hot_keys(spark):
+    key = F.concat(F.lit("k"), F.col("id") % 2000).alias("k")
+    left = spark.range(0, 100_000, 1, 4).select(key, "id")
+    right = left.select("k").distinct().withColumn("w", F.lit(1))
+    joined = skew_safe_join(left, right, ["k"], "left", rows_per_task=10)
+    assert joined.count() == joined.where("w = 1").count() == 100_000
+
+
+def largest(spark, left, limit):
     right = spark.createDataFrame([("hot", 1)], "k string, w int")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew_safe_join(left, right, ["k"], "left", rows_per_task=500)
+        joined = skew_safe_join(left, right, ["k"], "left", rows_per_task=limit)
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 4000
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert sum(r["count"] for r in sizes) == left.count()
+    assert max(r["count"] for r in sizes) <= 2.5 * limit  # parts share tasks by their hashes
 
 
 def test_fits_broadcast(spark):

@@ -217,6 +217,36 @@ def test_late_rows_within_the_allowance(spark, folder):
     assert logs.names() == ["a", "b", "c", "late", "tied"]
 
 
+@pytest.mark.parametrize("forced", [False, True])
+def test_late_rows_stay_when_later_runs_find_nothing(spark, folder, forced, monkeypatch):
+    """Run 2 stores late rows only, so the mark stays while the files read again move on."""
+    if forced:  # the look-up by shuffle, on whole enveloped rows
+        monkeypatch.setattr("logweir.operators.joins.fits_broadcast", lambda *a, **k: False)
+    logs = Logs(spark, folder, allowed_lateness=timedelta(days=1))
+    logs.add("AVDP1", "01102024", line("2024-01-10T12:00:00Z", "a"))
+    logs.run()
+    logs.add("AVDP1", "01092024", line("2024-01-09T20:00:00Z", "late"))
+    logs.add("AVDP1", "01112024", line("2024-01-10T11:00:00Z", "other"))
+    assert logs.run().n_rows == 2
+    for path in logs.base.rglob("*01092024"):
+        path.write_text("")  # the source rotates
+    for _ in range(2):
+        logs.run()
+        assert logs.names() == ["a", "late", "other"]
+
+
+def test_jobs_run_in_utc(spark, folder):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        logs = Logs(spark, folder)
+        logs.add("AVDP1", "01022024", line("2024-01-02T02:00:00Z", "a"))
+        logs.run()
+        row = read_query_log(spark, logs.job).first()
+        assert str(row.MetadataLogDate).startswith("2024010202")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_dense_ids(spark, folder):
     logs = Logs(spark, folder, guid="dense")
     for day in range(1, 9):

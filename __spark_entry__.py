@@ -319,6 +319,7 @@ def usage_stream_gold(spark, sf):
 def layer_validation(spark, sf):
     """Against the declared schemas; silver is held against bronze's, which it must not match."""
     bronze = _bronze(spark, sf, keep_malformed=True)
+    bronze = bronze.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp"))
     silver = _silver(spark, sf)
     part = B.metadata(B.table(spark, sf, "part"))
     gold = O.enrich_usage(silver, part)

@@ -470,16 +470,17 @@ QUERIES = {
 def _llm():
     """Queries of the training-data operators and their SQL; none where that subpackage is gone."""
     try:
-        import corpus_pipeline
         from logweir.llm import queries as llm
-    except ModuleNotFoundError as error:
-        if error.name not in ("corpus_pipeline", "logweir.llm", "logweir.llm.queries"):
+    except ImportError as error:
+        if not (error.name or "").startswith("logweir.llm"):
             raise
         return {}, {}
-    except ImportError as error:  # a folder left without its modules
-        if error.name != "logweir.llm":
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as error:
+        if error.name != "corpus_pipeline":
             raise
-        return {}, {}
+        return dict(llm.QUERIES), dict(llm.SQL)
     sql = dict(llm.SQL)
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
+from functools import partial
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,7 +17,13 @@ from pyspark.sql import types as T
 
 from logweir import functions as X
 from logweir import operators as O
-from logweir.fixed_values import METADATA_FIELDS, QUERY_LOG_FIELDS, USAGE_FIELDS
+from logweir.fixed_values import (
+    METADATA_FIELDS,
+    QUERY_LOG_FIELDS,
+    QUERY_LOG_TYPE,
+    QUERY_TABLE_TYPE,
+    USAGE_FIELDS,
+)
 from logweir.plans import (
     MetadataJob,
     QueryLogJob,
@@ -31,14 +38,21 @@ from logweir.plans.query_log import read_query_log
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
 from logweir.session import pin_utc, work_folder
 from logweir.sinks import append_table, replace_table, upsert_table
-from logweir.sources import candidate_files, read_json_logs, read_table
+from logweir.sources import (
+    candidate_files,
+    read_json_logs,
+    read_table,
+    read_watchlist,
+    rows_table,
+    stream_messages,
+)
 from logweir.sources.messages import BODY
 from logweir.streaming import bronze_rows, gold_rows, silver_rows
 from logweir_queries import bindings as B
 from logweir_queries.sql import SQL
 
 MARK = "2024-01-15 00:00:00"
-TAGS = {"tenant": "tenant-1", "log_type": "logm.denodo.queries", "table_type": "LOGM_DENODO_QUERIES_CL"}
+TAGS = {"tenant": "tenant-1", "log_type": QUERY_LOG_TYPE, "table_type": QUERY_TABLE_TYPE}
 
 
 def _local(name):
@@ -129,14 +143,23 @@ def content_id_256(spark, sf):
 
 
 def log_guid_dense(spark, sf):
+    """Of each event, the minute and the number within it."""
     rows = O.add_identity(_event_source(spark, sf), time="ts", bits=256, guid="dense")
-    place = F.col("MetadataLogGuid") % 10**9
-    return rows.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("MetadataLogGuid").alias("n_ids"),
-        F.min(place).alias("first_place"),
-        F.max(place).alias("last_place"),
-        F.min(F.floor(F.col("MetadataLogGuid") / F.lit(10**9))).alias("first_minute"),
+    return rows.select(
+        F.expr("MetadataLogGuid DIV 1000000000L").alias("minute"),
+        (F.col("MetadataLogGuid") % 10**9).alias("place"),
+    )
+
+
+def ingest_clock(spark, sf):
+    """Whether the ingest time of each row lies within the run that wrote it."""
+    path = f"{work_folder(spark, 'clock')}/rows"
+    started = datetime.now(timezone.utc)
+    append_table(O.envelope(_event_source(spark, sf), time="ts", source="source", **TAGS), path)
+    ended = datetime.now(timezone.utc)
+    at = F.col("TimeGenerated").cast("timestamp")
+    return read_table(spark, path).select(
+        "event_id", at.between(F.lit(started), F.lit(ended)).alias("within_run")
     )
 
 
@@ -224,7 +247,7 @@ def metadata_upsert_shuffled(spark, sf):
 
 
 def metadata_capture(spark, sf):
-    """Create the table from part, then drain the event stream into it, twice."""
+    """Create the table from part, then drain the event stream into it, at each delivery."""
     folder = work_folder(spark, "metadata")
     known = B.metadata(B.table(spark, sf, "part"))
     first = O.envelope(
@@ -241,17 +264,26 @@ def metadata_capture(spark, sf):
         order_by=["event_id"],
     )
     upsert_table(first, job.table, ["ontology"])
-    for _ in range(2):
-        run_metadata_upsert(_event_stream(spark, sf, B.metadata_messages), job)
+    for messages in _deliveries(spark, sf, folder, B.metadata_messages):
+        run_metadata_upsert(messages, job)
     table = read_table(spark, job.table, schema=METADATA_GOLD)
     return table.select(*METADATA_FIELDS, "MetadataLogFileName", "Type")
 
 
-def _event_stream(spark, sf, bind):
-    """The events table as a stream. A glob stands for one file as well as for a folder of them."""
-    schema = B.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 10_000)
-    return bind(stream.parquet(f"{sf}/{{events}}.parquet"))
+def _deliveries(spark, sf, folder, bind, as_text=False):
+    """The events' messages, delivered in two parts: after each, the stream over what is there."""
+    events = B.table(spark, sf, "events")
+    early = F.col("event_id") <= F.lit(events.agg(F.avg("event_id")).first()[0])
+    inbox = f"{folder}/inbox"
+    for part in (early, ~early):
+        messages = bind(events.where(part))
+        if as_text:
+            lines = messages.select(F.col(BODY).cast("string").alias("value"))
+            lines.write.mode("append").text(inbox)
+            yield stream_messages(spark, "text", inbox)
+        else:
+            messages.write.mode("append").parquet(inbox)
+            yield stream_messages(spark, "parquet", inbox, messages.schema)
 
 
 # ---- usage layers --------------------------------------------------------------------------
@@ -300,11 +332,10 @@ def usage_gold_rows(spark, sf):
 
 
 def usage_stream_gold(spark, sf):
-    """Messages to bronze to silver as streams, each started twice, then gold."""
+    """Messages to bronze to silver as streams, each started at two deliveries, then gold."""
     folder = work_folder(spark, "usage")
     bronze, silver, gold = (f"{folder}/{name}" for name in ("bronze", "silver", "gold"))
-    for _ in range(2):
-        messages = _event_stream(spark, sf, B.usage_messages)
+    for messages in _deliveries(spark, sf, folder, B.usage_messages, as_text=True):
         for query in run_usage_bronze(messages, bronze, "bus-1"):
             query.awaitTermination()
         run_usage_silver(spark, bronze, silver, "tenant-1").awaitTermination()
@@ -316,6 +347,35 @@ def usage_stream_gold(spark, sf):
     return read_table(spark, gold).select(*USAGE_FIELDS, "filename", "size_in_kb")
 
 
+def _bronze_job(spark, sf):
+    """Messages, some malformed, to bronze and quarantine."""
+    folder = work_folder(spark, "bronze")
+    table, bad = f"{folder}/bronze", f"{folder}/malformed"
+    broken = partial(B.usage_messages, broken=True)
+    for messages in _deliveries(spark, sf, folder, broken, as_text=True):
+        started = datetime(2024, 2, 1, 12, 34, 56)
+        for query in run_usage_bronze(messages, table, "bus-1", started_at=started, quarantine=bad):
+            query.awaitTermination()
+    return table, bad
+
+
+def usage_bronze_stream(spark, sf):
+    table, _ = _bronze_job(spark, sf)
+    return read_table(spark, table).select(*USAGE_FIELDS, "input_file_path")
+
+
+def usage_quarantine(spark, sf):
+    _, bad = _bronze_job(spark, sf)
+    return read_table(spark, bad).select(F.col(BODY).cast("string").alias(BODY))
+
+
+def captured_rows(spark, sf):
+    """Events by an activity that the driver has as rows."""
+    known = rows_table(spark, B.CAPTURED_ACTIVITIES, "event_type string, activity string")
+    events = B.table(spark, sf, "events").join(F.broadcast(known), "event_type", "left")
+    return events.groupBy("activity").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def layer_validation(spark, sf):
     """Against the declared schemas; silver is held against bronze's, which it must not match."""
     bronze = _bronze(spark, sf, keep_malformed=True)
@@ -339,10 +399,9 @@ def layer_preview(spark, sf):
 # ---- query-log job and tables --------------------------------------------------------------
 
 
-def _query_log_runs(spark, sf):
-    """The job over the staged logs in two runs, split at the middle day."""
+def _query_log_job(spark, sf, source, lateness=False):
+    """(job, first day, last day); with lateness, all days may still get lines."""
     folder = work_folder(spark, "etl")
-    source = B.stage_json_logs(spark, sf)
     first, last = (
         B.table(spark, sf, "events")
         .agg(F.min(F.to_date("ts")), F.max(F.to_date("ts")))
@@ -357,19 +416,51 @@ def _query_log_runs(spark, sf):
         first_day=first,
         layout=B.STAGED_LAYOUT,
         day_pattern=B.STAGED_DAY,
+        allowed_lateness=(last - first + timedelta(days=1)) if lateness else timedelta(0),
     )
+    return job, first, last
+
+
+def _query_log_runs(spark, sf):
+    """The job over the staged logs in two runs, split at the middle day."""
+    job, first, last = _query_log_job(spark, sf, B.stage_json_logs(spark, sf))
     for day in (first + timedelta(days=(last - first).days // 2), last):
         run_query_log_etl(spark, job, day)
     return job
 
 
-def incremental_two_runs(spark, sf):
-    rows = read_query_log(spark, _query_log_runs(spark, sf))
-    return rows.select(
+def _stored_lines(spark, job):
+    return read_query_log(spark, job).select(
         *QUERY_LOG_FIELDS, _local("MetadataLogTimeGenerated"), "MetadataLogDate", "TenantId"
     )
 
 
+def incremental_two_runs(spark, sf):
+    return _stored_lines(spark, _query_log_runs(spark, sf))
+
+
+def incremental_late_runs(spark, sf):
+    """A part of the lines comes after the first run, into days that it has read; the third run
+    finds nothing new."""
+    late = F.col("event_id") % 11 == 0
+    source = B.stage_json_logs(spark, sf, ~late)
+    job, _, last = _query_log_job(spark, sf, source, lateness=True)
+    run_query_log_etl(spark, job, last)
+    B.stage_json_logs(spark, sf, late, source)
+    for _ in range(2):
+        run_query_log_etl(spark, job, last)
+    return _stored_lines(spark, job)
+
+
+def query_log_status(spark, sf):
+    """Outcomes of a run without files, one with lines and one without new lines."""
+    job, first, last = _query_log_job(spark, sf, B.stage_json_logs(spark, sf))
+    days = (first - timedelta(days=1), last, last)
+    results = [run_query_log_etl(spark, job, day) for day in days]
+    rows = [(at, result.status, result.n_rows) for at, result in enumerate(results)]
+    return rows_table(spark, rows, "run int, status string, n_rows long")
+
+
 def query_log_quarantine(spark, sf):
     job = _query_log_runs(spark, sf)
     return spark.read.parquet(job.quarantine).select("raw", "reason")
@@ -417,6 +508,18 @@ def price_top_n(spark, sf):
     return O.price_status(first, B.product_pages(part)).select("Model", "status", "line")
 
 
+def page_prices(spark, sf):
+    """Several products of each of the given pages."""
+    pages = B.table(spark, sf, "pages")
+    return O.price_status(B.page_watchlist(pages), B.priced_pages(pages))
+
+
+def watchlist_csv(spark, sf):
+    path = f"{work_folder(spark, 'watchlist')}/products"
+    B.watchlist(B.table(spark, sf, "part")).write.option("header", True).csv(path)
+    return read_watchlist(spark, path)
+
+
 def price_report_lines(spark, sf):
     part = B.table(spark, sf, "part")
     report = f"{work_folder(spark, 'prices')}/report"
@@ -436,6 +539,7 @@ QUERIES = {
     "query_log_envelope": query_log_envelope,
     "content_id_256": content_id_256,
     "log_guid_dense": log_guid_dense,
+    "ingest_clock": ingest_clock,
     "log_guid_stable": log_guid_stable,
     "log_since_watermark": log_since_watermark,
     "next_checkpoint": next_checkpoint,
@@ -453,16 +557,23 @@ QUERIES = {
     "usage_silver_rows": usage_silver_rows,
     "usage_gold_rows": usage_gold_rows,
     "usage_stream_gold": usage_stream_gold,
+    "usage_bronze_stream": usage_bronze_stream,
+    "usage_quarantine": usage_quarantine,
+    "captured_rows": captured_rows,
     "layer_validation": layer_validation,
     "layer_preview": layer_preview,
     "incremental_two_runs": incremental_two_runs,
+    "incremental_late_runs": incremental_late_runs,
     "query_log_quarantine": query_log_quarantine,
     "query_log_checkpoint": query_log_checkpoint,
+    "query_log_status": query_log_status,
     "table_append": table_append,
     "table_replace": table_replace,
     "price_status": price_status,
     "price_status_shuffled": price_status_shuffled,
     "price_top_n": price_top_n,
+    "page_prices": page_prices,
+    "watchlist_csv": watchlist_csv,
     "price_report_lines": price_report_lines,
 }
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from logweir.functions import content_id, dense_guid, minute_stamp, numeric_stamp, stable_guid
-from logweir.operators.sequence import nine_digit_sequence
+from logweir.operators.sequence import NINE_DIGITS, nine_digit_sequence
 
 SEQUENCE = "_sequence"
 
@@ -16,6 +16,21 @@ def _guid(guid, content, time):
     raise ValueError(f"unknown row id: {guid}")
 
 
+def with_dense_guid(df, time="MetadataLogTimeGenerated", stored=None):
+    """The rows with dense ids in place of the ones they have. `stored` are rows that have dense
+    ids already; theirs are not given again."""
+    taken = None
+    if stored is not None:
+        place = F.col("MetadataLogGuid") % NINE_DIGITS + 1
+        minute = F.expr(f"MetadataLogGuid DIV {NINE_DIGITS}L").alias("group")
+        taken = stored.groupBy(minute).agg(F.max(place).alias("next"))
+    columns = df.columns
+    minute = minute_stamp(F.col(time))
+    numbered = nine_digit_sequence(df, SEQUENCE, minute, taken)
+    guid = dense_guid(minute, F.col(SEQUENCE))
+    return numbered.withColumn("MetadataLogGuid", guid).select(*columns)
+
+
 def envelope(
     df,
     *,
@@ -35,7 +50,7 @@ def envelope(
     `time` and `source` name the event-time and source columns; both move into the envelope.
     `id_columns` are hashed for the content id (default: all columns, in order). `guid` is
     "stable" (hash of the content id, the same in every run, allowed on streams) or "dense"
-    (event minute and a nine-digit number within the run, batch only). Without `with_id` the
+    (event minute and a nine-digit number within it, batch only). Without `with_id` the
     envelope has neither id. `now` is the ingest time.
     """
     now = F.current_timestamp() if now is None else now

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from logweir.operators.joins import BROADCAST_BYTES, fits_broadcast
+from logweir.session import work_folder
 
 
 def _keyed(keys):
@@ -39,17 +40,21 @@ def upsert(
     Target rows whose key the source has are dropped and the source's newest rows added. The
     source keys are broadcast when they are measured to be small, so a small batch does not
     shuffle a large target; otherwise both sides shuffle on the key, which holds at most one
-    target row per key.
+    target row per key. The source is read and aggregated once: its newest rows go to a work
+    folder, and measuring, dropping and adding read them there.
     """
     columns = list(columns or target.columns)
+    staged = work_folder(source.sparkSession, "newest")
     newest = latest_per_key(source, keys, order_by, columns)
-    changed = source.where(_keyed(keys)).select(*keys)
+    newest.write.parquet(staged)
+    newest = source.sparkSession.read.schema(newest.schema).parquet(staged)
+    changed = newest.where(_keyed(keys)).select(*keys)
     if fits_broadcast(changed, max_broadcast_bytes):
         kept = target.join(F.broadcast(changed), list(keys), "left_anti")
     else:
         kept = (
             target.where(_keyed(keys))
-            .join(changed.distinct(), list(keys), "left_anti")
+            .join(changed, list(keys), "left_anti")
             .unionByName(target.where(~_keyed(keys)))
         )
     return kept.select(*columns).unionByName(newest)

@@ -23,7 +23,7 @@ from logweir.fixed_values import (
     QUERY_TABLE_TYPE,
 )
 from logweir.functions import canonical_body, content_id, field_count, file_day
-from logweir.operators.envelope import envelope
+from logweir.operators.envelope import envelope, with_dense_guid
 from logweir.operators.parse import parse_query_log
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint_columns, since, unseen
 from logweir.schemas import CORRUPT, INGEST_CHECKPOINT, QUERY_LOG_OUT, QUERY_LOG_QUARANTINE
@@ -154,11 +154,21 @@ def _output(lines, job, now):
         table_type=QUERY_TABLE_TYPE,
         now=now,
         bits=job.bits,
-        guid=job.guid,
     )
     return rows.withColumn("log_day", F.to_date("MetadataLogTimeGenerated"))
 
 
+def _numbered(spark, rows, job, mark, run_id):
+    """The run's rows, late ones among them, with dense ids that no other run has given. Rows below
+    the lateness window share no minute with stored ones but that of its lower end."""
+    if not mark or not table_exists(spark, job.table, job.fmt):
+        return with_dense_guid(rows)
+    floor = (mark - job.allowed_lateness).date()
+    stored = read_table(spark, job.table, job.fmt, _stored(QUERY_LOG_OUT, "log_day date"))
+    others = stored.where((F.col("ingest_run") != run_id) & (F.col("log_day") >= F.lit(floor)))
+    return with_dense_guid(rows, stored=others.select("MetadataLogGuid"))
+
+
 def _late(spark, lines, job, now, mark, run_id):
     """Lines from the lateness window below the mark that earlier runs have not stored."""
     window = (F.col(TIME) > F.lit(mark - job.allowed_lateness)) & (F.col(TIME) <= F.lit(mark))
@@ -239,6 +249,8 @@ def run_query_log_etl(spark, job, last_day, now=None):
     if mark and job.allowed_lateness and table_exists(spark, job.table, job.fmt):
         good_again = read_json_logs(spark, paths).where(reason.isNull())
         rows = rows.unionByName(_late(spark, good_again, job, now, mark, run_id))
+    if job.guid == "dense":
+        rows = _numbered(spark, rows, job, mark, run_id)
     source_day = job.day_of(F.col("MetadataLogFileName"))
     file_date, last_time = next_checkpoint_columns(day=source_day)
     rows = rows.observe(

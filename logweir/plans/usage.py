@@ -1,5 +1,6 @@
 """The usage pipeline: messages to bronze to silver as streams, silver and metadata to gold."""
 
+from logweir.functions import source_label
 from logweir.operators.enrich import repeated_keys
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_SILVER
 from logweir.session import pin_utc
@@ -10,14 +11,19 @@ from logweir.streaming.layers import bronze_rows, gold_rows, malformed_rows, sil
 
 
 def run_usage_bronze(
-    messages, table, label, *, quarantine=None, fmt="parquet", keep_malformed=False, **trigger
+    messages, table, label, *, started_at=None, quarantine=None, fmt="parquet", keep_malformed=False,
+    **trigger,
 ):
     """Start the message stream into bronze; returns the running queries.
 
+    With `started_at`, the run's start time, rows carry it next to the name of their source.
+
     With a quarantine table, malformed messages go there through a second query. Each query has
     its own checkpoint, so either can stop and resume without the other.
     """
     pin_utc(messages.sparkSession)
+    if started_at:
+        label = source_label(label, started_at)
     rows = bronze_rows(messages, label, keep_malformed=keep_malformed)
     queries = [stream_append(rows, table, fmt, **trigger)]
     if quarantine:

@@ -11,6 +11,9 @@ from logweir.sources.messages import BODY
 
 FILE_EVERY, BREAK_EVERY, SHORT_EVERY = 20, 10, 7
 CAPTURES = [(0, 15), (1_000_000_000_000, 13)]
+CAPTURED_ACTIVITIES = [
+    ("purchase", "Download"), ("click", "Login"), ("view", "Data Query"), ("error", "API Access"),
+]
 SHOP = "https://shop.example/item/"
 
 
@@ -122,23 +125,26 @@ def log_path(number, time):
     )
 
 
-def stage_json_logs(spark, sf_dir):
+def stage_json_logs(spark, sf_dir, which=None, folder=None):
     """Write the events as JSON-lines query logs, one folder per server and day; returns the
-    folder. Every fiftieth line is cut short and every fiftieth has no time."""
+    folder. Every fiftieth line is cut short and every fiftieth has no time. `which` events are
+    delivered now, into the given folder."""
     time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     spot = F.col("event_id") % 50
     text = F.to_json(
         F.struct(F.when(spot != 1, time).alias("@timestamp"), event_log_line().alias("log"))
     )
-    folder = work_folder(spark, "query-logs")
+    folder = folder or work_folder(spark, "query-logs")
+    events = table(spark, sf_dir, "events")
     (
-        table(spark, sf_dir, "events")
+        (events if which is None else events.where(which))
         .select(
             F.when(spot == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"),
             _text("AVDP", F.col("event_id") % 2 + 1).alias("server"),
             F.date_format("ts", "MMddyyyy").alias("day"),
         )
-        .write.partitionBy("server", "day")
+        .write.mode("append")
+        .partitionBy("server", "day")
         .text(folder)
     )
     return folder
@@ -169,6 +175,22 @@ def product_pages(part):
     )
 
 
+def priced_pages(pages):
+    """The given pages with a price ahead of the end of their body; pages without one stay."""
+    amount = F.format_number(F.col("page_id") % 5000 * 13 + F.lit(0.25), 2)
+    element = _text('<span id="priceblock_ourprice">₹ ', amount, "</span></body>")
+    return pages.select("page_id", "url", F.replace("html", F.lit("</body>"), element).alias("html"))
+
+
+def page_watchlist(pages):
+    """Three products of each page."""
+    return pages.select("page_id", "url", F.explode(F.array(*map(F.lit, range(3)))).alias("k")).select(
+        _text("item ", F.col("page_id"), "-", F.col("k")).alias("Model"),
+        F.col("url").alias("URL"),
+        (F.col("k") * 20_000 + 500).cast("int").alias("Target Price"),
+    )
+
+
 def watchlist(part):
     return part.select(
         _text(F.col("p_name"), " ", F.col("p_partkey")).alias("Model"),

@@ -1,4 +1,5 @@
-"""The registered queries in SQL, written from the tables and not from the Spark code."""
+"""The registered queries in SQL, written from the tables and not from the Spark code; only the
+names of the query-log fields are shared with it."""
 
 from logweir.fixed_values import QUERY_LOG_FIELDS
 
@@ -139,6 +140,13 @@ PRICES = """
   FROM judged
 """
 
+STORED_LINES = f"""
+  SELECT {", ".join(f'CAST({EVENT_FIELDS[at % 4]} AS VARCHAR) AS "{name}"' for at, name in enumerate(QUERY_LOG_FIELDS))},
+    ts AS MetadataLogTimeGenerated,
+    CAST(strftime(ts, '%Y%m%d%H%M%S%g') AS BIGINT) AS MetadataLogDate, 'tenant-1' AS TenantId
+  FROM events WHERE event_id % 50 > 1
+"""
+
 SQL = {
     "usage_parse_json": f"SELECT event_id, {USAGE} FROM events",
     "usage_props_json": "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events",
@@ -187,10 +195,10 @@ SQL = {
         || ',"props":"' || replace(props, '"', '\\"') || '"}') AS content_id
       FROM events""".replace("\\\\", "\\"),
     "log_guid_dense": """
-      SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS first_place,
-        count(*) - 1 AS last_place,
-        min(CAST(strftime(ts, '%y%m%d%H%M') AS BIGINT)) AS first_minute
+      SELECT CAST(strftime(ts, '%y%m%d%H%M') AS BIGINT) AS minute,
+        row_number() OVER (PARTITION BY date_trunc('minute', ts)) - 1 AS place
       FROM events""",
+    "ingest_clock": "SELECT event_id, TRUE AS within_run FROM events",
     "log_guid_stable": """
       SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_ids,
         count(DISTINCT event_id) AS n_content_ids
@@ -247,6 +255,17 @@ SQL = {
       FROM silver LEFT JOIN part
         ON ontology = 'onto_' || p_partkey AND activity = 'Download'""",
     "usage_stream_gold": ENRICHED,
+    "usage_bronze_stream": f"""
+      SELECT {USAGE}, 'bus-1-2024-02-01 12:34:56' AS input_file_path
+      FROM events WHERE event_id % 10 <> 0""",
+    "usage_quarantine": """
+      SELECT substr('{"start_date":"' || strftime(ts, '%d/%b/%Y') || '"', 1, 20) AS body
+      FROM events WHERE event_id % 10 = 0""",
+    "captured_rows": """
+      SELECT CASE event_type WHEN 'purchase' THEN 'Download' WHEN 'click' THEN 'Login'
+        WHEN 'view' THEN 'Data Query' WHEN 'error' THEN 'API Access' END AS activity,
+        count(*) AS n_events
+      FROM events GROUP BY 1""",
     "layer_validation": """
       WITH good AS (SELECT * FROM events WHERE event_id % 10 <> 0)
       SELECT 0 AS position, 'bronze' AS layer, count(*) AS n_rows,
@@ -262,11 +281,8 @@ SQL = {
         count(*) FILTER (event_type <> 'purchase' OR user_id * 20 NOT IN (SELECT p_partkey FROM part)),
         NULL, 'silver', 0 FROM good""",
     "layer_preview": "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC LIMIT 20",
-    "incremental_two_runs": f"""
-      SELECT {", ".join(f'CAST({EVENT_FIELDS[at % 4]} AS VARCHAR) AS "{name}"' for at, name in enumerate(QUERY_LOG_FIELDS))},
-        ts AS MetadataLogTimeGenerated,
-        CAST(strftime(ts, '%Y%m%d%H%M%S%g') AS BIGINT) AS MetadataLogDate, 'tenant-1' AS TenantId
-      FROM events WHERE event_id % 50 > 1""",
+    "incremental_two_runs": STORED_LINES,
+    "incremental_late_runs": STORED_LINES,
     "query_log_quarantine": f"""
       SELECT CASE WHEN event_id % 50 = 0 THEN substr({_LINE}, 1, 40) ELSE {_LINE} END AS raw,
         CASE WHEN event_id % 50 = 0 THEN 'unreadable' ELSE 'no event time' END AS reason
@@ -274,11 +290,36 @@ SQL = {
     "query_log_checkpoint": """
       SELECT strftime(max(ts), '%Y%m%d') AS file_date, max(ts) AS last_timegenerated
       FROM events WHERE event_id % 50 > 1""",
+    "query_log_status": """
+      SELECT CAST(0 AS INTEGER) AS run, 'EMPTY' AS status, CAST(0 AS BIGINT) AS n_rows
+      UNION ALL SELECT 1, 'OK', count(*) FROM events WHERE event_id % 50 > 1
+      UNION ALL SELECT 2, 'EMPTY', 0""",
     "table_append": "SELECT event_id, ts, event_type, value FROM events",
     "table_replace": """
       SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders""",
     "price_status": PRICES,
     "price_status_shuffled": PRICES,
     "price_top_n": f"SELECT Model, status, line FROM ({PRICES}) ORDER BY Model LIMIT 5",
+    "page_prices": """
+      WITH newest AS (
+        SELECT url, CASE WHEN contains(html, '</body>')
+          THEN CAST(page_id % 5000 * 13 + 0.25 AS DOUBLE) END AS amount
+        FROM pages QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id DESC) = 1),
+      watched AS (
+        SELECT 'item ' || page_id || '-' || k AS Model, pages.url AS URL,
+          CAST(k * 20000 + 500 AS INTEGER) AS target, amount
+        FROM pages CROSS JOIN range(3) AS products(k) LEFT JOIN newest ON pages.url = newest.url),
+      judged AS (
+        SELECT *, CASE WHEN amount IS NULL THEN 'Price not found'
+          WHEN amount < target THEN 'Available at your price' ELSE 'Still at same price' END AS status
+        FROM watched)
+      SELECT Model, URL, target, CAST(amount AS DECIMAL(20, 6)) AS price, status,
+        Model || ' Present Price: Rs.' || coalesce(CAST(amount AS VARCHAR), 'unknown')
+          || ' Status:' || status AS line
+      FROM judged""",
+    "watchlist_csv": """
+      SELECT p_name || ' ' || p_partkey AS Model, 'https://shop.example/item/' || p_partkey AS URL,
+        CAST(11000 + p_size * 40 AS INTEGER) AS "Target Price"
+      FROM part""",
     "price_report_lines": f"SELECT line FROM ({PRICES})",
 }

@@ -186,15 +186,30 @@ def test_dense_sequence_over_many_partitions(spark):
     assert sorted(one(got, "n")) == list(range(67)) and got.columns == ["id", "n"]
 
 
-def test_nine_digit_sequence_wraps_only_where_minutes_stay_apart(spark):
-    df = spark.range(0, 100, 1, 7).withColumn("minute", F.floor(F.col("id") / 5))
-    got = nine_digit_sequence(df, "n", F.col("minute"), limit=10)
-    assert max(one(got, "n")) == 9 and got.select("minute", "n").distinct().count() == 100
-    whole = nine_digit_sequence(df, "n", F.col("minute"), limit=100)
-    assert sorted(one(whole, "n")) == list(range(100))
-    mixed = df.withColumn("minute", F.col("id") % 5)
-    with pytest.raises(ValueError):
-        nine_digit_sequence(mixed, "n", F.col("minute"), limit=10)
+def test_nine_digit_sequence_is_gapless_in_every_minute(spark):
+    df = spark.range(0, 1000, 1, 7).withColumn("minute", F.when(F.col("id") > 600, 7).otherwise(F.col("id") % 5))
+    df = df.withColumn("minute", F.when(F.col("id") > 990, None).otherwise(F.col("minute")))
+    numbers = lambda rows: {
+        r.minute: sorted(r.n) for r in rows.groupBy("minute").agg(F.collect_list("n").alias("n")).collect()
+    }
+    got = numbers(nine_digit_sequence(df, "n", F.col("minute")))
+    assert {m: len(n) for m, n in got.items()} == {0: 121, 1: 120, 2: 120, 3: 120, 4: 120, 7: 390, None: 9}
+    assert all(n == list(range(len(n))) for n in got.values())
+    taken = spark.createDataFrame([(7, 50), (99, 3), (None, 2)], "group long, next long")
+    after = numbers(nine_digit_sequence(df, "n", F.col("minute"), taken))
+    assert after[7] == list(range(50, 440)) and after[0] == got[0] and after[None] == list(range(2, 11))
+
+
+def test_equal_rows_have_numbers_of_their_own(spark):
+    df = spark.range(0, 50, 1, 5).select(F.lit("a").alias("a"), F.lit(1).alias("minute"))
+    assert sorted(one(nine_digit_sequence(df, "n", F.col("minute")), "n")) == list(range(50))
+
+
+def test_a_full_minute_fails(spark):
+    df = spark.range(0, 100, 1, 7).withColumn("minute", F.col("id") % 5)
+    assert nine_digit_sequence(df, "n", F.col("minute"), limit=20).count() == 100
+    with pytest.raises(Exception, match="more rows than 19 numbers"):
+        nine_digit_sequence(df, "n", F.col("minute"), limit=19).collect()
 
 
 def test_dense_guid_overflow_is_null(spark):

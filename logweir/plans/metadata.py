@@ -5,13 +5,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import functions as F
 
 from logweir.fixed_values import METADATA_FIELDS, METADATA_LOG_TYPE, METADATA_TABLE_TYPE
-from logweir.operators.envelope import envelope
+from logweir.operators.envelope import envelope, with_dense_guid
 from logweir.operators.parse import parse_messages
 from logweir.schemas import METADATA_EVENT, METADATA_GOLD
 from logweir.session import pin_utc
 from logweir.sinks.streams import default_checkpoint
 from logweir.sinks.tables import upsert_table, write_run
 from logweir.sources.messages import BODY, capture_available
+from logweir.sources.tables import read_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,9 @@ class MetadataJob:
     fmt: str = "parquet"
 
 
-def metadata_rows(messages, job, now=None):
-    """Well-formed and malformed rows of a batch: (enveloped rows with the order columns, bad)."""
+def metadata_rows(messages, job, now=None, stored=None):
+    """Well-formed and malformed rows of a batch: (enveloped rows with the order columns, bad).
+    Dense ids go on after those of the `stored` rows."""
     now = F.current_timestamp() if now is None else now
     order = [F.col(name).alias(f"_order_{name}") for name in job.order_by]
     parsed = parse_messages(messages, METADATA_EVENT, keep=order)
@@ -57,8 +59,9 @@ def metadata_rows(messages, job, now=None):
         now=now,
         id_columns=hashed,
         bits=job.bits,
-        guid=job.guid,
     )
+    if job.guid == "dense":
+        rows = with_dense_guid(rows, stored=stored)
     bad = parsed.where("malformed").select(BODY, now.alias("TimeGenerated"))
     return rows, bad
 
@@ -74,7 +77,10 @@ def run_metadata_upsert(stream, job):
     checkpoint = job.checkpoint or default_checkpoint(job.table)
 
     def take(batch, name):
-        rows, bad = metadata_rows(batch.persist(), job)
+        spark, stored = batch.sparkSession, None
+        if job.guid == "dense" and table_exists(spark, job.table, job.fmt):
+            stored = read_table(spark, job.table, job.fmt, METADATA_GOLD)
+        rows, bad = metadata_rows(batch.persist(), job, stored=stored)
         try:
             if job.quarantine and not bad.isEmpty():
                 write_run(bad, job.quarantine, name, job.fmt)

@@ -159,8 +159,8 @@ def _output(lines, job, now):
 
 
 def _numbered(spark, rows, job, mark, run_id):
-    """The run's rows, late ones among them, with dense ids that no other run has given. Rows below
-    the lateness window share no minute with stored ones but that of its lower end."""
+    """The run's rows, late ones among them, with dense ids that no other run has given. All of
+    them lie above the lower end of the lateness window, so only stored days from there on count."""
     if not mark or not table_exists(spark, job.table, job.fmt):
         return with_dense_guid(rows)
     floor = (mark - job.allowed_lateness).date()
@@ -221,10 +221,10 @@ def _quarantine(spark, paths, job, run_id, first_bad, last_bad):
 def run_query_log_etl(spark, job, last_day, now=None):
     """Take the lines that are new since the checkpoint, up to the files of `last_day`.
 
-    A run is named after the checkpoint it starts from: its mark, and how often in a row
-    that has been saved. If it dies before it saves its own, the next run starts from the same one, has the same name and replaces what the
-    first one wrote. A run that stored rows saves a checkpoint even if they leave the mark where it
-    was, as late ones do, so no later run has its name.
+    A run is named after the checkpoint it starts from: its mark, and how often in a row that has
+    been saved. If it dies before it saves its own, the next run starts from the same one, has the
+    same name and replaces what the first one wrote. A run that stored rows saves a checkpoint even
+    if they leave the mark where it was, as late ones do, so no later run has its name.
     """
     pin_utc(spark)
     day, mark = load_checkpoint(spark, job.checkpoint, job.fmt)

@@ -193,6 +193,18 @@ def test_metadata_capture_keeps_the_newest_per_key(spark, capture):
     assert capture.sizes() == [("onto_1", "7"), ("onto_2", "4"), ("onto_3", "6")]
 
 
+def test_dense_ids_of_captures_do_not_repeat(spark, capture):
+    from dataclasses import replace
+
+    dense = replace(capture.job, guid="dense")
+    for first in (0, 10):
+        rows = [(first + at, metadata_event(first + at, 1)) for at in range(3)]
+        spark.createDataFrame(rows, capture.schema).write.mode("append").parquet(capture.inbox)
+        run_metadata_upsert(stream_messages(spark, "parquet", capture.inbox, capture.schema), dense)
+    ids = [r[0] for r in read_table(spark, dense.table).select("MetadataLogGuid").collect()]
+    assert len(ids) == len(set(ids)) == 6 and None not in ids
+
+
 def test_metadata_without_key_is_inserted_once_even_on_replay(spark, capture, folder):
     from logweir.sinks.tables import upsert_table
 

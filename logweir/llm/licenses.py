@@ -2,14 +2,15 @@
 
 Templates are cut into word k-grams, of which winnowing keeps the least hash of each window; an
 inverted index holds where each kept k-gram stands in which template. A document's k-grams are
-looked up there. Hits on nearly one diagonal of one template make a candidate, and an alignment of
-words in a band around that diagonal gives the share of the template that the document matches and
-where.
+looked up there. Each diagonal of a template that has hits is a candidate, and an alignment of words
+in a band around it gives the share of the template that the document matches and where.
 """
 
+import bisect
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ K = 3
 WINDOW = 2
 BAND = 8
 MIN_COVERAGE = 0.8
+#: Words of a template that are counted together when bounding what can match.
+PART = 64
 MATCH_SCHEMA = "doc_id long, license string, start long, end long, coverage double, matched int"
 
 _WORDS = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -67,6 +70,10 @@ class TemplateIndex:
 
     def __init__(self, templates):
         self.words = {name: [w for w, _, _ in words_of(text)] for name, text in templates.items()}
+        self.parts = {
+            name: [(at, len(words[at : at + PART]), Counter(words[at : at + PART])) for at in range(0, len(words), PART)]
+            for name, words in self.words.items()
+        }
         self.grams = defaultdict(list)
         for name, words in self.words.items():
             if len(words) < K:
@@ -112,40 +119,65 @@ def align(template, document, band):
     return pairs
 
 
+def can_match(parts, words, offset, need, band):
+    """False if no alignment around the diagonal can match `need` words: each part of the template
+    matches at most the words that it has in common with the stretch in its reach."""
+    spare = sum(length for _, length, _ in parts) - need
+    for start, length, counts in parts:
+        here = Counter(words[max(0, offset + start - band) : max(0, offset + start + length + band)])
+        spare -= length - sum(min(n, here[word]) for word, n in counts.items())
+        if spare < 0:
+            return False
+    return True
+
+
+def align_at(template, words, offset, band, hidden=()):
+    """(place in the template, in the document) of the words matched around a diagonal; the words
+    at `hidden` places don't match."""
+    low, high = offset - band, min(len(words), offset + len(template) + band)
+    stretch = [None if at < 0 or at in hidden else words[at] for at in range(low, high)]
+    return [(i - band, j + low) for i, j in align([""] * band + template, stretch, band)]
+
+
 def find_licenses(text, index, band=BAND, least=MIN_COVERAGE):
     """(license, start, end in code points, coverage, words matched), by place.
 
-    Of matches over the same words the one with most words matched counts."""
+    Every diagonal that has a hit and may reach `least` is aligned. Of matches over the same words
+    the one with most words matched counts, then the one that covers more of its template."""
     if not index.quick.search(text):
         return []
     found = words_of(text)
     words = [w for w, _, _ in found]
-    diagonals = defaultdict(set)
+    diagonals = defaultdict(lambda: defaultdict(list))
     for at, word in enumerate(words):
         if word in index.firsts:
             for name, place in index.grams.get(tuple(words[at : at + K]), ()):
-                diagonals[name].add(at - place)
+                diagonals[name][at - place].append(at)
     matches = []
     for name, offsets in diagonals.items():
-        template, last = index.words[name], None
-        for offset in sorted(offsets):
-            if last is not None and offset - last <= band:
-                continue  # in the band of the candidate before
-            last = offset
-            shift = max(0, offset)
-            stretch = words[shift : shift + len(template) + band]
-            skipped = shift - offset
-            pairs = align(template[skipped:], stretch, band)
-            coverage = len(pairs) / len(template)
-            if pairs and coverage >= least:
-                first, final = shift + pairs[0][1], shift + pairs[-1][1]
+        template, covered = index.words[name], {}
+        need = max(1, math.ceil(least * len(template) - 1e-9))
+        # the diagonals with most hits first: what they give spares others
+        for offset, hits in sorted(offsets.items(), key=lambda o: (-len(o[1]), o[0])):
+            final, n = covered.get(hits[0], (-1, 0))
+            more = max(need, n + 1) if hits[-1] <= final else need
+            if not can_match(index.parts[name], words, offset, more, band):
+                continue
+            pairs = align_at(template, words, offset, band)
+            while len(pairs) >= need:
+                first, final = pairs[0][1], pairs[-1][1]
+                coverage = len(pairs) / len(template)
                 matches.append((found[first][1], found[final][2], name, coverage, len(pairs)))
-    matches.sort(key=lambda m: (-m[4], m[0], m[2]))
+                covered.update(dict.fromkeys(range(first, final + 1), (final, len(pairs))))
+                # what is left beside the matches so far
+                pairs = align_at(template, words, offset, band, covered)
+    matches.sort(key=lambda m: (-m[4], -m[3], m[0], m[2]))
     chosen = []
     for match in matches:
-        if all(match[1] <= other[0] or match[0] >= other[1] for other in chosen):
-            chosen.append(match)
-    return [(name, start, end, coverage, n) for start, end, name, coverage, n in sorted(chosen)]
+        at = bisect.bisect_left(chosen, match)
+        if (at == 0 or chosen[at - 1][1] <= match[0]) and (at == len(chosen) or match[1] <= chosen[at][0]):
+            chosen.insert(at, match)
+    return [(name, start, end, coverage, n) for start, end, name, coverage, n in chosen]
 
 
 def scan_licenses(docs, templates=None, id_col="doc_id", text_col="text", band=BAND, least=MIN_COVERAGE):

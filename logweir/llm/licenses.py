@@ -11,33 +11,66 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-# Wordings of public licences and of the usual lines that name them.
-TEMPLATES = {
+# Wordings of the usual notices and of the lines that name a licence. Whole licence
+# texts lie in license_texts.
+NOTICES = {
     "Apache-2.0 line": "Licensed under the Apache License, Version 2.0",
     "MIT line": "Released under the MIT License",
-    "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0",
-    "GPL-3.0 line": "This work is licensed under the GNU General Public License, version 3",
-    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+    "BSD line": "Released under the BSD License",
+    "ISC line": "Released under the ISC License",
+    "Apache-2.0 notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
         except in compliance with the License. You may obtain a copy of the License at
         http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
         writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
-        WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
-    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+        specific language governing permissions and limitations under the License.""",
+    "MIT opening": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction,
         including without limitation the rights to use, copy, modify, merge, publish, distribute,
         sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
         furnished to do so""",
-    "BSD": """Redistribution and use in source and binary forms, with or without modification, are permitted
+    "BSD opening": """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met: Redistributions of source code must retain the
         above copyright notice, this list of conditions and the following disclaimer.""",
-    "GPL": """This program is free software: you can redistribute it and/or modify it under the terms of the
-        GNU General Public License as published by the Free Software Foundation, either version 3 of
-        the License, or (at your option) any later version.""",
+    "MPL-2.0 notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy
+        of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/""",
+    "GPL-2.0-only opening": """This program is free software; you can redistribute it and/or modify it under the terms of
+        version 2 of the GNU General Public License as published by the Free Software Foundation""",
 }
+NOTICES["Apache-2.0 opening"] = NOTICES["Apache-2.0 notice"].partition(" See the License")[0]
+for _version in ("2", "3"):
+    NOTICES[f"GPL-{_version}.0 line"] = f"This work is licensed under the GNU General Public License, version {_version}"
+_OPENING = """This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU
+    {kind}General Public License as published by the Free Software Foundation, either version {version} of the
+    License, or (at your option) any later version."""
+_REST = """ This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+    implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public
+    License for more details."""
+for _name, _thing, _kind, _version in (
+    ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"), ("LGPL-2.0", "library", "Library ", "2"),
+    ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "program", "Lesser ", "3"), ("AGPL-3.0", "program", "Affero ", "3"),
+):
+    _of = {"thing": _thing, "kind": _kind, "version": _version}
+    NOTICES[f"{_name}-or-later opening"] = _OPENING.format(**_of)
+    NOTICES[f"{_name}-or-later notice"] = (_OPENING + _REST).format(**_of)
+for _version in ("3.0", "4.0"):
+    for _code, _words in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    ):
+        NOTICES[f"CC-{_code}-{_version} line"] = f"Licensed under CC {_code} {_version}"
+        _area = "International" if _version == "4.0" else "Unported"
+        NOTICES[f"CC-{_code}-{_version} notice"] = (
+            f"This work is licensed under a Creative Commons {_words} {_version} {_area} License"
+        )
+TEXTS = {path.stem: path.read_text("utf-8") for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+TEMPLATES = {**NOTICES, **{name: text.strip().rstrip(".") for name, text in TEXTS.items()}}
 K = 3
 WINDOW = 2
 BAND = 8

@@ -23,3 +23,13 @@ def test_words_added_near_the_start_keep_the_start():
     words = licenses.TEMPLATES["MIT"].split()
     text = " ".join(words[:2] + ["most"] + words[2:])
     assert found_in(text) == [("MIT", text)]
+
+
+def test_whole_texts_and_versions_are_told_apart():
+    index = licenses.TemplateIndex(licenses.TEMPLATES)
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"} <= set(licenses.TEXTS)
+    for name, text in licenses.TEMPLATES.items():
+        got = [(n, c) for n, _, _, c, _ in licenses.find_licenses("Some words first. " + text + ". And some after.", index)]
+        assert got == [(name, 1.0)]
+    edited = licenses.TEXTS["ISC"].replace("AUTHOR", "COPYRIGHT HOLDER")
+    assert [m[0] for m in licenses.find_licenses(edited, index)] == ["ISC"]

@@ -41,6 +41,8 @@ BOILERPLATE_WORDS = frozenset(
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
+IN_HEAD = frozenset("title meta link base basefont bgsound style script noscript noframes template head".split())
+
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -103,7 +105,14 @@ class _Reader(HTMLParser):
     def _end_block(self):
         self.current = None
 
+    def _end_head(self):
+        """What may not stand in the head ends it, though its end tag is left out."""
+        if self.stack[-1].tag == "head":
+            self._pop_to(len(self.stack) - 1)
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in VOID:
             if tag in BLOCK:
                 self._end_block()
@@ -154,6 +163,8 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.stack[-1].tag == "head" and not data.isspace():
+            self._end_head()
         if self.hidden:
             return
         if self.current is None:

@@ -38,6 +38,14 @@ BOILERPLATE_WORDS = frozenset(
     "recommend recommended respond share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar topbar tags widget widgets".split()
 )
+#: Named so, a part is boilerplate with the articles in it.
+FIRM_WORDS = frozenset(
+    "ad ads adv advert advertisement adverts advertising comment comments disqus promo promoted "
+    "recommend recommended related reply replies respond sponsor sponsored widget widgets".split()
+)
+#: With these, a class says how the page is laid out, not what the element is.
+LAYOUT_WORDS = frozenset("has no with without".split())
+WRAPPER_WORDS = frozenset("container inner layout outer wrap wrapper".split())
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
@@ -62,15 +70,26 @@ class Weights:
     same_grandparent = 0.4
 
 
+def _names(value):
+    """Words of a class list or id, without those of names that describe the layout."""
+    words = set()
+    for name in value.split():
+        parts = set(_WORDS.findall(_CAMEL.sub(" ", name).lower()))
+        if parts & LAYOUT_WORDS or parts & WRAPPER_WORDS and parts & CONTENT_WORDS:
+            parts -= BOILERPLATE_WORDS
+        words |= parts
+    return words
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "boilerplate", "content")
+    __slots__ = ("tag", "parent", "boilerplate", "content", "firm", "own", "own_firm", "resets")
 
     def __init__(self, tag, parent, attrs):
         self.tag, self.parent = tag, parent
         names, role = set(), ""
         for key, value in attrs:
             if value and key in ("class", "id"):
-                names.update(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+                names |= _names(value)
             elif value and key == "role":
                 role = value.strip().lower()
         in_content = bool(parent and parent.content)
@@ -79,8 +98,20 @@ class _Element:
         named = bool(names & BOILERPLATE_WORDS) and tag not in ("html", "body", "article", "main")
         if tag == "header" and in_content or tag in HEADINGS:
             named = False
-        self.boilerplate = bool(parent and parent.boilerplate) or marked or named
         self.content = in_content or tag in CONTENT_TAGS or role == "main" or bool(names & CONTENT_WORDS) and not named
+        main = tag == "main" or role == "main"
+        self.resets = "all" if main else "loose" if tag == "article" else ""
+        self.own = marked or named and not main
+        # a form may hold a whole page, so an article in it counts
+        self.own_firm = marked and tag != "form" or named and bool(names & FIRM_WORDS)
+        self.inherit()
+
+    def inherit(self):
+        """Boilerplate holds for all below, but for a main part, and for articles unless firm."""
+        above = self.parent
+        self.firm = bool(above and above.firm) and self.resets != "all" or self.own and self.own_firm
+        kept = above and above.boilerplate and (not self.resets or self.resets == "loose" and above.firm)
+        self.boilerplate = bool(kept) or self.own
 
 
 class Block:
@@ -96,6 +127,7 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack = [_Element("", None, ())]
+        self.elements = list(self.stack)
         self.blocks, self.current, self.hidden, self.links = [], None, 0, 0
 
     def updatepos(self, i, j):
@@ -131,6 +163,7 @@ class _Reader(HTMLParser):
         if tag in BLOCK:
             self._end_block()
         self.stack.append(_Element(tag, self.stack[-1], attrs))
+        self.elements.append(self.stack[-1])
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -191,9 +224,40 @@ def read_blocks(html):
         text = " ".join(raw.split())
         if text:
             found.append((text, min(1.0, block.linked / max(1, len(raw.strip()))), block.element))
+    _free_page_forms(found, reader.elements)
     return found
 
 
+def _free_page_forms(found, elements):
+    """A form with most of the words of the page's long text is the page's frame, not a form."""
+    while True:
+        words, in_form = 0, {}
+        for text, linked, element in found:
+            n = text.count(" ") + 1
+            if n < 10 or linked > 0.5:
+                continue
+            flagged, forms = False, []
+            while element is not None:
+                if element.own and element.tag == "form":
+                    forms.append(element)
+                elif element.own:
+                    flagged = True
+                if flagged or element.resets:
+                    break
+                element = element.parent
+            if not flagged:
+                words += n
+                for form in forms:
+                    in_form[form] = in_form.get(form, 0) + n
+        frames = [form for form, n in in_form.items() if 2 * n > words]
+        if not frames:
+            return
+        for form in frames:
+            form.own = False
+        for element in elements:
+            element.inherit()
+
+
 def costs(text, linked, element):
     """(cost of calling the block boilerplate, cost of calling it content)."""
     content = boilerplate = 0.0

@@ -12,3 +12,26 @@ def test_an_open_head_ends_where_it_must(start):
     page = f"<html><head><meta charset=utf-8><title>T</title><script>1</script>{start}{TEXT}"
     assert main_text(page) == TEXT
     assert main_text(f"<head><noscript><p>no</p></noscript><template><p>no</p></template>{start}{TEXT}") == TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body><div class="content-sidebar-wrap"><main><p>{}</main></div>',
+        '<body><div class="layout with-sidebar"><article><p>{}</article></div>',
+        '<body><form id="aspnetForm"><div><p>{}</div></form>',
+        '<body><div class="sidebar"><article><p>{}</article></div>',
+        '<body class="x"><div class="page has-sidebar"><div><p>{}</div></div>',
+        '<body><form role="form"><main><p>{}</main></form>',
+        '<body><div class="social tags"><div role="main"><p>{}</div></div>',
+    ],
+)
+def test_a_flagged_wrapper_keeps_its_main_part(page):
+    assert main_text(page.format(TEXT) + f'<div class="sidebar"><p>{TEXT}</div>') == TEXT
+
+
+def test_boilerplate_stays_out():
+    article = f"<article><p>{TEXT}</article>"
+    for other in ('<div class="comments"><article><p>{}</article></div>', "<aside><article><p>{}</article></aside>",
+                  "<form><p>Your mail {}</form>", '<div class="sidebar-wrapper"><p>{}</div>'):
+        assert main_text(f"<body>{article}{article}" + other.format(TEXT)) == TEXT + "\n" + TEXT

@@ -10,6 +10,7 @@ only, some for each length that a sequence can hold, so they cost the same for a
 documents. The placements are joined back to the pieces by length and rank.
 """
 
+import re
 import zlib
 from itertools import chain
 
@@ -34,6 +35,9 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class ChunkTokenizer:
     """Ids of a text from the ids of its chunks between ASCII white space, each encoded once.
 
+    Special tokens in a text are text as any other with `special_as_text`. Without, they get their
+    own ids as the tokenizer gives by default; chunks that hold one are encoded alone, as written.
+
     The tokenizer drops white space and looks at nothing across it, so a text's ids are its chunks'
     ids in order. It also parts a run of letters from the signs after it; so a chunk of both takes
     its ids from those two, which recur more often. New runs are encoded together, blanks between
@@ -44,11 +48,17 @@ class ChunkTokenizer:
     SEPARATOR = "\x01"
     TOGETHER = 256
 
-    def __init__(self, path):
+    def __init__(self, path, special_as_text=True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        special = [] if special_as_text else [token.content for token in added]
+        if any(not content or content.split() != [content] for content in special):
+            raise ValueError("a special token must not hold white space")
+        # in any letter case: whether another case is special, the tokenizer alone says
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
         (self.separator,) = self._encode([self.SEPARATOR])[0]
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -74,11 +84,14 @@ class ChunkTokenizer:
                 self.runs[run] = packed[start:end]
                 start = end
 
+    def _is_alone(self, text):
+        return self.SEPARATOR in text or bool(self.special and self.special.search(text))
+
     def _learn_whole(self, texts):
         """Ids of chunks that are neither letters nor letters and signs."""
-        alone = [text for text in texts if self.SEPARATOR in text]
+        alone = [text for text in texts if self._is_alone(text)]
         found = {t: np.array(ids, "<u4").tobytes() for t, ids in zip(alone, self._encode(alone))}
-        rest = [text for text in texts if self.SEPARATOR not in text]
+        rest = [text for text in texts if not self._is_alone(text)]
         for group, ids in self._groups(rest, f" {self.SEPARATOR} "):
             packed, start = ids.tobytes(), 0
             marks = 4 * np.flatnonzero(ids == self.separator)
@@ -112,7 +125,11 @@ class ChunkTokenizer:
     def encode(self, texts):
         """Each text's ids as little-endian 32-bit numbers. The tokenizer lower-cases all letters;
         those of ASCII are so beforehand, which makes more chunks equal."""
-        split = [text.encode("utf-8", "replace").lower().split() for text in texts]
+        split = []
+        for text in texts:
+            chunks = text.encode("utf-8", "replace")
+            cased = self.special and self.special.search(text)
+            split.append((chunks if cased else chunks.lower()).split())
         if len(self.known) > KNOWN_CHUNKS:
             self.known.clear()
         new = [chunk for chunk in set(chain.from_iterable(split)) if chunk not in self.known]
@@ -127,7 +144,7 @@ _TOKENIZERS = {}
 
 def chunk_tokenizer(path):
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkTokenizer(path)
+        _TOKENIZERS[path] = ChunkTokenizer(path, special_as_text=False)
     return _TOKENIZERS[path]
 
 

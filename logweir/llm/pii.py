@@ -19,8 +19,10 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){
 DATE = r"(?<![0-9./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9/-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![0-9])"
+_GROUPED = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+E164 = r"(?<![0-9+])\+[1-9][0-9]{7,14}(?![0-9])"
+PHONE = f"{_GROUPED}|{E164}"
+CARD = r"(?<![0-9])(?:(?:[0-9]{4}[ -]?){3}[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"
 KINDS = {"email": EMAIL, "date": DATE, "ssn": SSN, "ip": IPV4, "phone": PHONE, "card": CARD}
 ANY = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 
@@ -219,15 +221,18 @@ def _email(value, key):
 
 
 def _phone(value, key):
-    """The country prefix kept, the ten digits of the number permuted."""
+    """The country prefix kept, the ten digits of the number permuted; of a number in one run of
+    digits, all but the first."""
     number = r"((?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})$"
-    return F.concat(
+    grouped = F.concat(
         F.regexp_replace(value, number, ""),
         _let(
             F.regexp_extract(value, number, 1),
             lambda n: _put_back(n, permuted_text(_digits(n), key)),
         ),
     )
+    run = F.concat(F.substring(value, 1, 2), permuted_text(F.substring(value, 3, 14), key))
+    return F.when(value.rlike("^[+][0-9]+$"), run).otherwise(grouped)
 
 
 def kind_of(value):

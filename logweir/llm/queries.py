@@ -67,9 +67,7 @@ def op8_quality(spark, sf_dir):
 
 def op9_simhash(spark, sf_dir):
     found = simhash_components(table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", hex_fingerprint(F.col("words")[0]).alias("fingerprint"), "component_id"
-    )
+    return found.select("doc_id", hex_fingerprint(F.col("word")).alias("fingerprint"), "component_id")
 
 
 def op10_secrets(spark, sf_dir):

@@ -11,42 +11,40 @@ within them. Components are the classes' smallest labels, spread by alternating
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.llm.common import as_struct, written
+from logweir.operators.joins import bounded_join
 
 BITS = 64
 #: Shingles hashed at a time; bounds memory for very long texts.
 SHINGLES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text, shingle, seeds):
-    """64 bits for each seed: a bit is 1 if set in over half of the shingles' hashes."""
+def fingerprint(text, shingle, seed):
+    """64 bits as a signed number: a bit is 1 if set in over half of the shingles' hashes."""
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
-        return [0] * len(seeds)
+        return 0
     n = max(1, len(words) - shingle + 1)
-    counts = np.zeros((len(seeds), BITS), np.int64)
+    counts = np.zeros(BITS, np.int64)
     for start in range(0, n, SHINGLES_AT_ONCE):
         end = min(n, start + SHINGLES_AT_ONCE)
-        grams = [b" ".join(words[at : at + shingle]) for at in range(start, end)]
-        for place, seed in enumerate(seeds):
-            digests = b"".join([xxhash.xxh64_digest(gram, seed) for gram in grams])
-            bits = np.unpackbits(np.frombuffer(digests, np.uint8)).reshape(-1, BITS)
-            counts[place] += bits.sum(axis=0, dtype=np.int64)
-    packed = np.packbits(2 * counts > n, axis=1)
-    return packed.view(">i8").ravel().tolist()
+        digests = b"".join(
+            [xxhash.xxh64_digest(b" ".join(words[at : at + shingle]), seed) for at in range(start, end)]
+        )
+        bits = np.unpackbits(np.frombuffer(digests, np.uint8)).reshape(-1, BITS)
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > n).view(">i8")[0])
 
 
-def fingerprints(text, shingle, seeds):
-    """Array column of one signed 64-bit fingerprint for each seed; null text is empty."""
-    seeds = tuple(seeds)
+def fingerprints(text, shingle, seed):
+    """Column of signed 64-bit fingerprints; null text is empty."""
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
+    @F.pandas_udf(T.LongType())
     def udf(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(text, shingle, seeds) for text in texts])
+        return pd.Series([fingerprint(text, shingle, seed) for text in texts], dtype="int64")
 
     return udf(F.coalesce(text, F.lit("")))
 
@@ -63,87 +61,68 @@ def _mask(width, shift=0):
     return F.lit(value - (1 << 64) if value >> 63 else value)
 
 
-def _differing(n_words):
-    """Differing bits of each word of two classes, a and b."""
-    return [F.bit_count(F.expr(f"a.words[{w}] ^ b.words[{w}]")) for w in range(n_words)]
+def _differs():
+    return F.expr("a.word ^ b.word")
 
 
-def _first_shared(n_words, max_bits):
-    """The number of the first variant that a close pair shares: of the first word within the
-    distance, the first segment that differs in at most one bit, with the differing bit left out
-    (the lowest where none differs)."""
+def _first_shared(max_bits):
+    """The variant under which a close pair counts: of the first segment that differs in at most
+    one bit, the one with the differing bit left out (the lowest where none differs)."""
     found = F.lit(None).cast("int")
-    segments = _segments(max_bits)
-    for word in reversed(range(n_words)):
-        differs = F.expr(f"a.words[{word}] ^ b.words[{word}]")
-        inner = F.lit(None).cast("int")
-        for shift, width in reversed(segments):
-            part = differs.bitwiseAND(_mask(width, shift))
-            # the place of a single bit: the number of bits below it
-            bit = F.when(part == 0, shift).when(part < 0, BITS - 1).otherwise(F.bit_count(part - 1))
-            inner = F.when(F.bit_count(part) <= 1, bit).otherwise(inner)
-        close = F.bit_count(differs) <= max_bits
-        found = F.when(close, inner + word * BITS).otherwise(found)
+    for shift, width in reversed(_segments(max_bits)):
+        part = _differs().bitwiseAND(_mask(width, shift))
+        # the place of a single bit: the number of bits below it
+        bit = F.when(part == 0, shift).when(part < 0, BITS - 1).otherwise(F.bit_count(part - 1))
+        found = F.when(F.bit_count(part) <= 1, bit).otherwise(found)
     return found
 
 
-def _variants(classes, n_words, max_bits):
-    """Each class under each of its variants: number of word and bit, and what is left."""
+def _variants(classes, max_bits):
+    """Each class under each of its variants: number of the bit left out, and what is left."""
     variants = []
-    for word in range(n_words):
-        value = F.expr(f"words[{word}]")
-        for shift, width in _segments(max_bits):
-            segment = value.bitwiseAND(_mask(width, shift))
-            for bit in range(shift, shift + width):
-                kept = segment.bitwiseAND(F.bitwise_not(_mask(1, bit)))
-                variants.append(
-                    F.struct(F.lit(word * BITS + bit).cast("int").alias("variant"), kept.alias("rest"))
-                )
-    exploded = classes.select("words", "crowd", F.explode(F.array(*variants)).alias("v"))
-    return exploded.select("words", "crowd", "v.variant", "v.rest")
-
+    for shift, width in _segments(max_bits):
+        segment = F.col("word").bitwiseAND(_mask(width, shift))
+        for bit in range(shift, shift + width):
+            kept = segment.bitwiseAND(F.bitwise_not(_mask(1, bit)))
+            variants.append(F.struct(F.lit(bit).cast("int").alias("variant"), kept.alias("rest")))
+    exploded = classes.select("word", "crowd", F.explode(F.array(*variants)).alias("v"))
+    return exploded.select("word", "crowd", "v.variant", "v.rest")
 
-def _is_close(distances, max_bits, max_total):
-    close = (F.least(*distances) if len(distances) > 1 else distances[0]) <= max_bits
-    return close if max_total is None else close & (sum(distances[1:], distances[0]) <= max_total)
 
-
-def crowd_links(classes, n_words, max_bits, max_total=None):
+def crowd_links(classes, max_bits):
     """Some of the close pairs, few for each class: of the classes that agree in half a word, the
     smallest with each other one that is close to it. They tie large groups of near copies."""
     halves = [
-        F.struct(F.lit(2 * word + half).alias("half"), F.expr(f"words[{word}]").bitwiseAND(_mask(32, 32 * half)).alias("value"))
-        for word in range(n_words)
+        F.struct(F.lit(half).alias("half"), F.col("word").bitwiseAND(_mask(32, 32 * half)).alias("value"))
         for half in range(2)
     ]
-    agreeing = classes.select("words", F.explode(F.array(*halves)).alias("h")).select("words", "h.half", "h.value")
-    smallest = agreeing.groupBy("half", "value").agg(F.min("words").alias("words"), F.count(F.lit(1)).alias("n"))
+    agreeing = classes.select("word", F.explode(F.array(*halves)).alias("h")).select("word", "h.half", "h.value")
+    smallest = agreeing.groupBy("half", "value").agg(F.min("word").alias("word"), F.count(F.lit(1)).alias("n"))
     a = smallest.where("n > 1").alias("a")
     b = agreeing.alias("b")
     same = (F.col("a.half") == F.col("b.half")) & (F.col("a.value") == F.col("b.value"))
-    close = _is_close(_differing(n_words), max_bits, max_total) & (F.col("a.words") < F.col("b.words"))
-    return a.join(b, same & close).select(F.col("a.words").alias("one"), F.col("b.words").alias("two"))
+    close = (F.bit_count(_differs()) <= max_bits) & (F.col("a.word") < F.col("b.word"))
+    return a.join(b, same & close).select(F.col("a.word").alias("one"), F.col("b.word").alias("two"))
 
 
-def close_pairs(classes, n_words, max_bits, max_total=None):
-    """Pairs of classes of which a word differs in at most `max_bits` bits, and all words together
-    in at most `max_total`: one row a pair. Classes of one `crowd`, where they have one, are linked
-    already and make no pairs."""
+def close_pairs(classes, max_bits):
+    """Pairs of classes of which the word differs in at most `max_bits` bits: one row a pair.
+    Classes of one `crowd`, where they have one, are linked already and make no pairs."""
     if "crowd" not in classes.columns:
-        classes = classes.withColumn("crowd", F.lit(None).cast("array<long>"))
+        classes = classes.withColumn("crowd", F.lit(None).cast("long"))
     # a class has many variants, so even a small table of classes is work for all tasks
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    indexed = _variants(classes.repartition(tasks, "words"), n_words, max_bits)
+    indexed = _variants(classes.repartition(tasks, "word"), max_bits)
     a, b = indexed.alias("a"), indexed.alias("b")
     apart = F.col("a.crowd").isNull() | F.col("b.crowd").isNull() | (F.col("a.crowd") != F.col("b.crowd"))
     verified = (
         (F.col("a.variant") == F.col("b.variant"))
         & (F.col("a.rest") == F.col("b.rest"))
-        & (F.col("a.words") < F.col("b.words"))
-        & _is_close(_differing(n_words), max_bits, max_total)
-        & (_first_shared(n_words, max_bits) == F.col("a.variant"))
+        & (F.col("a.word") < F.col("b.word"))
+        & (F.bit_count(_differs()) <= max_bits)
+        & (_first_shared(max_bits) == F.col("a.variant"))
     )
-    return a.join(b, verified & apart).select(F.col("a.words").alias("one"), F.col("b.words").alias("two"))
+    return a.join(b, verified & apart).select(F.col("a.word").alias("one"), F.col("b.word").alias("two"))
 
 
 def components(nodes, edges):
@@ -176,52 +155,70 @@ def components(nodes, edges):
     return linked.select("node", F.coalesce("root", "node").alias("root"))
 
 
-def simhash_components(
-    docs, id_col="doc_id", text_col="text", shingle=4, seeds=(42,), max_bits=4, max_total=None,
-    whole_rows=False,
-):
-    """One row per input row: doc_id, words (its fingerprints), component_id; `row`, the input row,
-    as well if `whole_rows`.
+def _labels(marked, max_bits):
+    """word, root, component_id of each class of equal fingerprints."""
+    classes = written(marked.groupBy("word").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    nodes = classes.select(F.col("word").alias("node"))
+    links = written(crowd_links(classes.select("word"), max_bits), "simhash-crowds")
+    tied = links.select(F.explode(F.array("one", "two")).alias("node")).distinct()
+    crowds = components(tied, links).select(F.col("node").alias("word"), F.col("root").alias("crowd"))
+    crowded = written(classes.select("word").join(crowds, "word", "left"), "simhash-crowded")
+    pairs = close_pairs(crowded, max_bits)
+    rooted = components(nodes, links.unionByName(pairs)).withColumnRenamed("node", "word")
+    rooted = written(rooted.join(classes, "word"), "simhash-rooted")
+    # only components of several classes are looked up, so that a root with many classes, which
+    # the join splits, is the one case of a key with many rows
+    alone = F.col("root") == F.col("word")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    several = smallest.where("n > 1").select("root", "component_id")
+    joined = bounded_join(rooted, several.withColumn("found", F.lit(True)), ["root"], "left")
+    own = F.when(F.col("found"), F.col("component_id")).when(alone, F.col("least"))
+    return joined.select("word", "root", own.alias("component_id"))
+
+
+def _marked(docs, id_col, text_col, shingle, seed, *more):
+    return docs.select(
+        F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle, seed).alias("word"), *more
+    )
 
-    Fingerprints link at `max_bits` or fewer differing bits in one word, and `max_total` in all
-    words. component_id is the smallest id reachable over links, a document's own included, null
-    ids being larger than all others. Null and empty texts have the fingerprint zero and link like
-    any other; shorter texts are one shingle. Repeated rows share a class. An empty table gives no
-    rows.
+
+def simhash_components(docs, id_col="doc_id", text_col="text", shingle=4, seed=42, max_bits=4):
+    """One row per input row: doc_id, word (its fingerprint), component_id.
+
+    Fingerprints link at `max_bits` or fewer differing bits. component_id is the smallest id
+    reachable over links, a document's own included, null ids being larger than all others. Null
+    and empty texts have the fingerprint zero and link like any other; shorter texts are one
+    shingle. Repeated rows share a class. An empty table gives no rows.
     """
-    n_words = len(seeds)
-    marked = written(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            fingerprints(F.col(text_col), shingle, seeds).alias("words"),
-            *([as_struct(docs).alias("row")] if whole_rows else []),
-        ),
-        "simhash-words",
-    )
-    classes = written(marked.groupBy("words").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    nodes = classes.select(F.col("words").alias("node"))
-    links = written(crowd_links(classes, n_words, max_bits, max_total), "simhash-crowds")
-    crowds = components(nodes, links)
-    members = crowds.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    crowds = crowds.join(members.where("n > 1"), "root", "left").select(
-        F.col("node").alias("words"), F.when(F.col("n") > 1, F.col("root")).alias("crowd")
-    )
-    pairs = close_pairs(written(crowds, "simhash-crowded"), n_words, max_bits, max_total)
-    rooted = components(nodes, links.unionByName(pairs))
-    joined = rooted.join(classes, F.col("node") == F.col("words"))
-    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = joined.join(smallest, "root").select("words", "component_id")
-    return marked.join(labels, "words")
+    marked = written(_marked(docs, id_col, text_col, shingle, seed), "simhash-words")
+    labels = _labels(marked, max_bits).select("word", "component_id")
+    return marked.join(labels, "word").select("doc_id", "word", "component_id")
 
 
 def hex_fingerprint(word):
     return F.lower(F.lpad(F.hex(word), 16, "0"))
 
 
-def drop_near_duplicates(docs, id_col="doc_id", text_col="text", **settings):
-    """The row of the smallest id of each component, with the columns it came with; of rows that
-    share that id, one."""
-    found = simhash_components(docs, id_col, text_col, whole_rows=True, **settings)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    order = Window.partitionBy("words", "doc_id").orderBy(F.xxhash64(F.col(f"row.`{text_col}`")))
-    return first.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
+def drop_near_duplicates(docs, id_col="doc_id", text_col="text", shingle=4, seed=42, max_bits=4):
+    """One row of each component, with the columns it came with: that of the smallest id, null ids
+    being larger than all others; of rows that share the id, the one whose text has the smallest
+    hash.
+
+    Which rows stay is worked out on ids and fingerprints; the rows themselves are written once
+    and moved at most once, and not at all where the dropped ones are few enough to broadcast.
+    Nulls, empty texts and repeated rows as in `simhash_components`. An empty table gives no rows."""
+    marked = written(
+        _marked(
+            docs, id_col, text_col, shingle, seed,
+            F.xxhash64(F.col(text_col)).alias("text_no"),
+            F.monotonically_increasing_id().alias("row_no"),
+            as_struct(docs).alias("row"),
+        ),
+        "simhash-rows",
+    )
+    narrow = marked.select("row_no", "doc_id", "text_no", "word")
+    labelled = narrow.join(_labels(marked, max_bits).select("word", "root"), "word")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_no", "row_no")
+    kept = labelled.groupBy("root").agg(F.min(order).alias("first")).select("first.row_no")
+    dropped = written(narrow.select("row_no").join(kept, "row_no", "left_anti"), "simhash-dropped")
+    return bounded_join(marked.select("row_no", "row"), dropped, ["row_no"], "left_anti").select("row.*")

@@ -1,44 +1,49 @@
 """Documents to packed sequences: quality, exact and near duplicates, mixing, packing.
 
 STAGES are (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which
-is written as Parquet and read again as the next one's docs."""
+is written as Parquet and read again as the next one's docs. All but the last return the columns
+they were given, whatever they are called; an empty table stays empty."""
 
 import public_tokenizers
 
 from logweir.llm.common import table, written
 from logweir.llm.exact_dedup import drop_exact_duplicates
 from logweir.llm.mixing import mixed_documents
-from logweir.llm.near_dedup import drop_similar
 from logweir.llm.packing import pack
 from logweir.llm.quality import keep_good
+from logweir.llm.simhash import drop_near_duplicates
 
 TOKENIZER = "word_bpe_49k.json"
-#: Five-word shingles, of which near duplicates share 4 / 5.
-NEAR = {"shingle": 5, "least": (4, 5)}
+#: Near duplicates: four-word shingles, fingerprints that differ in at most four bits.
+NEAR = {"shingle": 4, "max_bits": 4}
 
 
 def quality(spark, docs, sf_dir):
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null text counts as empty; rows that share an id
+    are each judged by their own text."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark, docs, sf_dir):
-    """Of equal texts the one with the largest id stays."""
+    """Of equal texts the one with the largest id stays. Null text equals empty text; null ids
+    count as the smallest."""
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Of each group of near duplicates the one with the smallest id stays."""
-    return drop_similar(docs, **NEAR)
+    """Of each group of linked fingerprints the document with the smallest id stays. Null and empty
+    texts are one group; null ids count as the largest; an empty table stays empty."""
+    return drop_near_duplicates(docs, **NEAR)
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, repeated rows each by itself. Null is a source
+    like any other; documents without words are not taken."""
     return mixed_documents(docs)
 
 
 def packing(spark, docs, sf_dir):
-    """The pieces of the documents in their sequences."""
+    """The pieces of the documents in their sequences. Null text is empty: one closing token."""
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 

@@ -12,10 +12,12 @@ each with the words that the longer ones missed, leaves a source off by about ha
 from math import ceil
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logweir.llm.common import WORD, as_struct, written
+from logweir.operators.joins import fits_broadcast
 
 #: Relative weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -25,7 +27,12 @@ MOST_COPIES = 2.0
 BLOCK_ROWS = 4096
 SEED = 42
 
-OPEN_SCHEMA = "doc_id long, row_no long, source string, node long, size long, base long, p double, open boolean"
+#: What makes a row's place in the draw: nothing here depends on how the table is laid out.
+DRAW = ["doc_id", "text_no", "copy_no"]
+OPEN_SCHEMA = (
+    "row_no long, doc_id long, text_no long, copy_no long, source string, node long, size long, "
+    "base long, p double, open boolean"
+)
 
 
 def n_words(text):
@@ -91,52 +98,105 @@ def _octave(size):
     return np.floor(np.log2(np.maximum(size, 1))).astype(int)
 
 
-def _settle(key, rows, seed):
-    """One node of the tree."""
-    rows = rows.sort_values(["size", "doc_id", "row_no"], kind="stable", ignore_index=True)
-    random = np.random.default_rng([seed, *np.frombuffer(repr(key).encode(), np.uint8)])
-    size, p, octave = rows["size"].to_numpy(), rows["p"].to_numpy(), _octave(rows["size"].to_numpy())
-    result, is_open = p.copy(), np.zeros(len(p), bool)
-    for one in np.unique(octave):
-        of = np.flatnonzero(octave == one)
-        order = of[random.permutation(len(of))]
-        result[order], held = exchange(size[order], p[order], random)
-        if held is not None:
-            is_open[order[held]] = True
-    return rows.assign(p=result, open=is_open)
+def _with(rows, **columns):
+    for name, values in columns.items():
+        rows = rows.set_column(rows.column_names.index(name), name, pa.array(values))
+    return rows
 
 
-def _close(rows):
+def _settle(seed):
+    """One node of the tree. Rows stay Arrow columns, so ids are never turned into other numbers."""
+
+    def settle(key, rows):
+        rows = rows.sort_by([(name, "ascending") for name in ["size", *DRAW]])
+        name = repr(tuple(part.as_py() for part in key)).encode()
+        random = np.random.default_rng([seed, *np.frombuffer(name, np.uint8)])
+        size, p = rows["size"].to_numpy(), rows["p"].to_numpy()
+        octave = _octave(size)
+        result, is_open = p.copy(), np.zeros(len(p), bool)
+        for one in np.unique(octave):
+            of = np.flatnonzero(octave == one)
+            order = of[random.permutation(len(of))]
+            result[order], held = exchange(size[order], p[order], random)
+            if held is not None:
+                is_open[order[held]] = True
+        return _with(rows, p=result, open=is_open)
+
+    return settle
+
+
+def _close(key, rows):
     """The root of a source: the open documents from the longest to the shortest."""
-    rows = rows.sort_values(["size", "doc_id", "row_no"], ascending=False, ignore_index=True)
-    missed, base, p = 0.0, rows["base"].to_numpy().copy(), []
-    for at, (size, share) in enumerate(zip(rows["size"], rows["p"])):
+    rows = rows.sort_by([(name, "descending") for name in ["size", *DRAW]])
+    missed, base, p = 0.0, rows["base"].to_numpy(), []
+    for at, (size, share) in enumerate(zip(rows["size"].to_numpy(), rows["p"].to_numpy())):
         wanted = missed + size * (base[at] + share)
         copies = min(MOST_COPIES, max(0.0, np.floor(wanted / size + 0.5)))
         missed = wanted - copies * size
         p.append(float(copies - base[at]))
-    return rows.assign(p=p, open=False)
+    return _with(rows, p=p, open=[False] * len(p))
+
+
+def _numbered(sized):
+    """The rows with copy_no, 0, 1, ... among rows of one id, text and source. Only rows that have
+    such copies are numbered, each task's by itself after those of the tasks before it, so a third
+    of all rows may be alike."""
+    key = ["doc_id", "text_no", "source"]
+    copied = sized.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    copied = written(copied.toDF("_id", "_text", "_from"), "mix-copied")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+        & F.col("text_no").eqNullSafe(F.col("_text"))
+        & F.col("source").eqNullSafe(F.col("_from"))
+    )
+    side = F.broadcast(copied) if fits_broadcast(copied) else copied
+    single = sized.join(side, same, "left_anti").withColumn("copy_no", F.lit(0).cast("long"))
+    several = sized.join(side, same, "left_semi").withColumn("_task", F.shiftright("row_no", 33))
+    task = [*key, "_task"]
+    counts = several.groupBy(*task).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *[F.col(name).alias(f"_{name}") for name in key],
+        F.col("_task").alias("_at"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"),
+    )
+    place = F.row_number().over(Window.partitionBy(*task).orderBy("row_no")) - 1
+    at = F.col("_task") == F.col("_at")
+    for name in key:
+        at = at & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    several = several.withColumn("_place", place).join(starts, at)
+    several = several.withColumn("copy_no", (F.col("_start") + F.col("_place")).cast("long"))
+    return written(single.unionByName(several.select(*single.columns)), "mix-numbered")
+
+
+def _sized(docs, id_col, text_col, source_col, *more):
+    """The rows in the shared folder, each with a number of its own that stays as written."""
+    return written(
+        docs.select(
+            F.monotonically_increasing_id().alias("row_no"),
+            F.col(id_col).cast("long").alias("doc_id"),
+            F.col(source_col).alias("source"),
+            n_words(F.col(text_col)).alias("size"),
+            F.xxhash64(F.col(text_col)).alias("text_no"),
+            *more,
+        ),
+        "mix-sizes",
+    )
 
 
 def mix(docs, id_col="doc_id", text_col="text", source_col="source", seed=SEED, block_rows=BLOCK_ROWS):
-    """One row per input row: doc_id, size, source_size, target, taken, row_no.
+    """One row per input row: doc_id, size, source_size, target, taken, copies, source, row_no.
 
     Null text and text without words have size 0 and are taken with 0 words. Null is a source like
-    any other. Repeated rows are rounded each by itself. Equal input gives equal results: rows are
-    drawn by document id, and by content among equal ids. An empty table gives no rows. `row_no`
-    tells rows of one id apart.
+    any other, and null an id like any other. Repeated rows are rounded each by itself and dealt
+    over blocks like others. Equal input gives equal results, however the table is laid out: rows
+    are drawn by id and text, and by their number among equal rows. An empty table gives no rows.
     """
-    sized = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(source_col).alias("source"),
-        n_words(F.col(text_col)).alias("size"),
-        F.xxhash64(F.col(text_col)).alias("row_no"),
-    )
-    sized = written(sized, "mix-sizes")
-    return _rounded(sized, seed, block_rows)
+    return _rounded(_sized(docs, id_col, text_col, source_col), seed, block_rows)
 
 
 def _rounded(sized, seed, block_rows):
+    sized = _numbered(sized)
     targets = source_targets(sized)
     counts = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
     counts = counts.withColumnRenamed("source", "of")
@@ -153,9 +213,9 @@ def _rounded(sized, seed, block_rows):
         sized.join(facts, F.col("source").eqNullSafe(F.col("of")))
         .withColumn("base", F.floor(copies).cast("long"))
         .withColumn("p", copies - F.col("base"))
-        .withColumn("node", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("n_blocks")))
+        .withColumn("node", F.pmod(F.xxhash64(*DRAW, F.lit(seed)), F.col("n_blocks")))
     )
-    names = ["doc_id", "row_no", "source", "node", "size", "base", "p"]
+    names = ["row_no", *DRAW, "source", "node", "size", "base", "p"]
     result = ["doc_id", "size", "source_size", "target", "source", "copies", "row_no"]
     whole = rows.where(~open_).withColumn("copies", F.col("base")).select(*result)
     level = rows.where(open_).select(*names, open_.alias("open"))
@@ -163,10 +223,7 @@ def _rounded(sized, seed, block_rows):
     settled = []
     while True:
         done = written(
-            level.groupBy("source", "node").applyInPandas(
-                lambda key, pdf: _settle(key, pdf, seed), OPEN_SCHEMA
-            ),
-            "mix-level",
+            level.groupBy("source", "node").applyInArrow(_settle(seed), OPEN_SCHEMA), "mix-level"
         )
         settled.append(done.where("NOT open"))
         level = done.where("open")
@@ -174,7 +231,7 @@ def _rounded(sized, seed, block_rows):
             break
         most_blocks = ceil(most_blocks / block_rows)
         level = level.withColumn("node", F.floor(F.col("node") / block_rows))
-    root = level.groupBy("source").applyInPandas(_close, OPEN_SCHEMA)
+    root = level.groupBy("source").applyInArrow(_close, OPEN_SCHEMA)
     rounded = root
     for part in settled:
         rounded = rounded.unionByName(part)
@@ -183,28 +240,19 @@ def _rounded(sized, seed, block_rows):
     )
     rounded = whole.unionByName(rounded.select(*result))
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return rounded.select("doc_id", "size", "source_size", "target", taken, "copies", "row_no", "source")
+    return rounded.select("doc_id", "size", "source_size", "target", taken, "copies", "source", "row_no")
 
 
-def mixed_documents(docs, id_col="doc_id", text_col="text", source_col="source", **settings):
+def mixed_documents(
+    docs, id_col="doc_id", text_col="text", source_col="source", seed=SEED, block_rows=BLOCK_ROWS
+):
     """The documents of the mix, each as often as it is taken, with the columns they came with.
 
-    Rows that share id, text and source are taken alike."""
-    decisions = mix(docs, id_col, text_col, source_col, **settings)
-    decisions = decisions.groupBy("doc_id", "row_no", F.col("source").alias("_source")).agg(
-        F.max("copies").alias("copies")
-    )
-    keyed = docs.select(
-        as_struct(docs).alias("row"),
-        F.col(id_col).cast("long").alias("_id"),
-        F.xxhash64(F.col(text_col)).alias("_text"),
-        F.col(source_col).alias("_from"),
-    )
-    same = (
-        F.col("_id").eqNullSafe(F.col("doc_id"))
-        & (F.col("_text") == F.col("row_no"))
-        & F.col("_from").eqNullSafe(F.col("_source"))
-    )
-    taken = keyed.join(decisions.where("copies > 0"), same)
+    Rows are told apart by their numbers, so repeated rows and null ids are each taken as `mix`
+    says. Documents without words come as often as the whole part of their source's share. An empty
+    table gives no rows."""
+    rows = _sized(docs, id_col, text_col, source_col, as_struct(docs).alias("row"))
+    decisions = _rounded(rows.drop("row"), seed, block_rows).where("copies > 0")
+    taken = rows.select("row_no", "row").join(decisions.select("row_no", "copies"), "row_no")
     repeated = taken.select("row", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))))
     return repeated.select("row.*")

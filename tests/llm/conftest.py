@@ -11,6 +11,11 @@ def make_docs(spark, rows):
     return spark.createDataFrame(full, SCHEMA)
 
 
+@pytest.fixture(scope="session")
+def make(spark):
+    return lambda rows: make_docs(spark, rows)
+
+
 @pytest.fixture(scope="session")
 def docs(spark):
     """Null, empty, blank, very long, repeated and tied rows, near and exact copies."""

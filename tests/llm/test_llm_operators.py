@@ -112,6 +112,24 @@ def test_mixed_documents(docs):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({i: int(n) for i, n in copies.items() if n})
 
 
+def test_mix_keeps_ids_and_counts_equal_rows(make):
+    rnd = random.Random(2)
+    big = 2**63 - 40
+    rows = [(big + i, " ".join("w" * rnd.randint(1, 40))) for i in range(30)] + [(None, "a b c")] * 40
+    rows += [(-(2**63) + i, "x y") for i in range(10)] + [(2**53 + 1, None), (5, "same row")] * 3
+    docs = make([(i, t, "a" if at % 2 else None) for at, (i, t) in enumerate(rows)]).repartition(4)
+    found = mixing.mix(docs, block_rows=8).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    assert len({r.row_no for r in found}) == len(rows)
+    again = mixing.mix(docs.repartition(7), block_rows=8).collect()
+    assert Counter((r.doc_id, r.source, r.taken) for r in again) == Counter((r.doc_id, r.source, r.taken) for r in found)
+    mixed = Counter(r.doc_id for r in mixing.mixed_documents(docs, block_rows=8).collect())
+    assert mixed == Counter(r.doc_id for r in found for _ in range(r.copies))
+    for source in ("a", None):
+        mine = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 21
+
+
 # ---- top k ----
 
 

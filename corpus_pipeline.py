@@ -38,7 +38,7 @@ def near_dedup(spark, docs, sf_dir):
 
 def mix_sources(spark, docs, sf_dir):
     """Documents as often as the mix takes them, repeated rows each by itself. Null is a source
-    like any other; documents without words are not taken."""
+    like any other; documents without words come as often as the whole part of its share."""
     return mixed_documents(docs)
 
 

@@ -1,6 +1,7 @@
 """The operators against brute force, on a small table with every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -338,6 +339,58 @@ def test_quality(spark):
     assert [round(r.score, 6) for r in none] == [0.5]
 
 
+def loop_score(model, bag):
+    """The score of one bag, number by number."""
+    w, hidden, weights = model.weights, [], []
+    for row in bag:
+        x = [(float(v) - m) / s for v, m, s in zip(row, model.mean, model.scale)]
+        h = [math.tanh(sum(x[i] * w["h"][i][j] for i in range(len(x))) + w["hb"][j]) for j in range(len(w["hb"]))]
+        a = 0.0
+        for j in range(len(w["a"])):
+            t = math.tanh(sum(h[i] * w["v"][i][j] for i in range(len(h))))
+            g = 1 / (1 + math.exp(-sum(h[i] * w["u"][i][j] for i in range(len(h)))))
+            a += t * g * w["a"][j]
+        hidden.append(h)
+        weights.append(math.exp(a))
+    z = [sum(e * h[i] for e, h in zip(weights, hidden)) / sum(weights) for i in range(len(hidden[0]))]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, w["s"])) + w["sb"][0])))
+
+
+def test_attention_and_gradient_against_loops():
+    rng = np.random.default_rng(5)
+    sizes = {"h": (6, 4), "hb": (4,), "v": (4, 3), "u": (4, 3), "a": (3,), "s": (4,), "sb": (1,)}
+    weights = {k: rng.normal(0, 1, s) for k, s in sizes.items()}
+    model = quality.Model(rng.normal(0, 1, 6), np.abs(rng.normal(1, 0.2, 6)), weights)
+    bags, labels = [rng.normal(0, 1, (n, 6)) for n in (1, 3, 7)], np.array([1.0, 0.0, 1.0])
+    starts = np.array([0, 1, 4])
+    got, _ = model.bag_scores(np.concatenate(bags), starts)
+    assert np.allclose(got, [loop_score(model, bag) for bag in bags])
+    assert np.allclose(got, [model.folded_score([bag[:2], bag[2:]] if len(bag) > 2 else [bag]) for bag in bags])
+    grad = quality.gradient(model, np.concatenate(bags), starts, labels)
+    for name, values in weights.items():
+        for place in np.ndindex(values.shape):
+            kept, losses = values[place], []
+            for step in (1e-5, -1e-5):
+                values[place] = kept + step
+                p = np.array([loop_score(model, bag) for bag in bags])
+                losses.append(-np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p)))
+            values[place] = kept
+            assert grad[name][place] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-6)
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    rnd = random.Random(1)
+    texts = ["", "a b"] + ["".join(rnd.choice("ab %.") for _ in range(n)) for n in (700, 5000, 30_000)]
+    bags = [np.concatenate(list(quality.encode(text))) for text in texts]
+    assert len(bags[-1]) == -(-30_000 // quality.PASSAGE_BYTES)
+    model = quality.fit([bag[:40] for bag in bags], [0, 1, 1, 0, 1], epochs=2)
+    whole = [model.bag_scores(bag, np.array([0]))[0][0] for bag in bags]
+    assert np.allclose(model.score(texts), whole, atol=1e-6)
+    # passages are counted within a chunk, so a cut between chunks loses the pair across it alone
+    monkeypatch.setattr(quality, "PASSAGES_AT_ONCE", 8)
+    assert np.allclose(model.score(texts), whole, atol=0.02)
+
+
 # ---- near duplicates ----
 
 

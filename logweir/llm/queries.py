@@ -11,6 +11,7 @@ from logweir.llm.mixing import mix
 from logweir.llm.packing import pack
 from logweir.llm.pii import KINDS, pseudonymise
 from logweir.llm.quality import score_quality
+from logweir.llm.resampling import importance_resample
 from logweir.llm.secret_scan import scan_secrets
 from logweir.llm.simhash import hex_fingerprint, simhash_components
 from logweir.llm.topk import quantised, top_k
@@ -74,11 +75,16 @@ def op10_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_resample(spark, sf_dir):
+    drawn = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_exact_dedup, op2_mix_sources, op3_exact_topk, op4_main_text, op5_best_fit_packing,
-        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets,
+        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets, op13_resample,
     )
 }
 

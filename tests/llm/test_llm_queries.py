@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
-    assert [name[: name.index("_")] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name[: name.index("_")] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_pipeline(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from logweir.llm.common import table
 from logweir.llm.exact_dedup import exact_duplicates
 from logweir.llm.html_extract import extract_main_text
+from logweir.llm.language_id import identify_languages
 from logweir.llm.licenses import scan_licenses
 from logweir.llm.mixing import mix
 from logweir.llm.packing import pack
@@ -75,6 +76,10 @@ def op10_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_language_id(spark, sf_dir):
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark, sf_dir):
     drawn = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -84,7 +89,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_exact_dedup, op2_mix_sources, op3_exact_topk, op4_main_text, op5_best_fit_packing,
-        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets, op13_resample,
+        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets, op12_language_id,
+        op13_resample,
     )
 }
 

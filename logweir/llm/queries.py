@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm.common import table
 from logweir.llm.exact_dedup import exact_duplicates
+from logweir.llm.hard_negatives import mine_negatives, usable_rows
 from logweir.llm.html_extract import extract_main_text
 from logweir.llm.language_id import identify_languages
 from logweir.llm.licenses import scan_licenses
@@ -76,6 +77,13 @@ def op10_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = usable_rows(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return mine_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op12_language_id(spark, sf_dir):
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -89,8 +97,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_exact_dedup, op2_mix_sources, op3_exact_topk, op4_main_text, op5_best_fit_packing,
-        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets, op12_language_id,
-        op13_resample,
+        op6_pii, op7_license_scan, op8_quality, op9_simhash, op10_secrets,
+        op11_hard_negatives, op12_language_id, op13_resample,
     )
 }
 
@@ -117,4 +125,27 @@ SQL = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS terms
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.terms, c.terms), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                   row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+            FROM scored WHERE same
+        ), ranked AS (
+            SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+            FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND p.place <= 5
+             AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE rank <= 5""",
 }

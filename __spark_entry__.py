@@ -33,13 +33,15 @@ from logweir.plans import (
     run_usage_bronze,
     run_usage_gold,
     run_usage_silver,
+    store_metadata,
 )
 from logweir.plans.query_log import read_query_log
-from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
+from logweir.schemas import METADATA_EVENT, METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
 from logweir.session import pin_utc, work_folder
-from logweir.sinks import append_table, replace_table, upsert_table
+from logweir.sinks import append_table, replace_table, upsert_buckets
 from logweir.sources import (
     candidate_files,
+    read_buckets,
     read_json_logs,
     read_table,
     read_watchlist,
@@ -246,7 +248,20 @@ def metadata_upsert_shuffled(spark, sf):
     )
 
 
-def metadata_capture(spark, sf):
+def metadata_upsert_bucketed(spark, sf):
+    """The table is dealt into buckets; of each batch's keys only the buckets are rewritten."""
+    path = f"{work_folder(spark, 'buckets')}/metadata"
+    upsert_buckets(B.metadata(B.table(spark, sf, "part")), path, ["ontology"], n_buckets=16)
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    updates = _part_updates(spark, sf)
+    first, last = updates.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    early = F.col("l_shipdate") <= F.lit(first + (last - first) / 2).cast("timestamp_ntz")
+    for token, batch in (("early", updates.where(early)), ("late", updates.where(~early))):
+        upsert_buckets(batch, path, ["ontology"], order, METADATA_FIELDS, token=token)
+    return read_buckets(spark, path, METADATA_EVENT)
+
+
+def metadata_capture(spark, sf, buckets=0):
     """Create the table from part, then drain the event stream into it, at each delivery."""
     folder = work_folder(spark, "metadata")
     known = B.metadata(B.table(spark, sf, "part"))
@@ -262,14 +277,19 @@ def metadata_capture(spark, sf):
         label="bus-1",
         quarantine=f"{folder}/malformed",
         order_by=["event_id"],
+        buckets=buckets,
     )
-    upsert_table(first, job.table, ["ontology"])
+    store_metadata(first, job)
     for messages in _deliveries(spark, sf, folder, B.metadata_messages):
         run_metadata_upsert(messages, job)
     table = read_table(spark, job.table, schema=METADATA_GOLD)
     return table.select(*METADATA_FIELDS, "MetadataLogFileName", "Type")
 
 
+def metadata_capture_bucketed(spark, sf):
+    return metadata_capture(spark, sf, buckets=16)
+
+
 def _deliveries(spark, sf, folder, bind, as_text=False):
     """The events' messages, delivered in two parts: after each, the stream over what is there."""
     events = B.table(spark, sf, "events")
@@ -548,7 +568,9 @@ QUERIES = {
     "late_rows_unseen": late_rows_unseen,
     "metadata_upsert": metadata_upsert,
     "metadata_upsert_shuffled": metadata_upsert_shuffled,
+    "metadata_upsert_bucketed": metadata_upsert_bucketed,
     "metadata_capture": metadata_capture,
+    "metadata_capture_bucketed": metadata_capture_bucketed,
     "usage_enrich": usage_enrich,
     "usage_enrich_shuffled": usage_enrich_shuffled,
     "usage_enrich_concat": usage_enrich_concat,

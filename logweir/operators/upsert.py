@@ -32,22 +32,22 @@ def latest_per_key(df, keys, order_by=(), columns=None):
     return newest.unionByName(df.where(~_keyed(keys)).select(*columns))
 
 
-def upsert(
-    target, source, keys, order_by=(), columns=None, max_broadcast_bytes=BROADCAST_BYTES
-):
-    """The target after every source row is inserted or has updated the target row of its key.
-
-    Target rows whose key the source has are dropped and the source's newest rows added. The
-    source keys are broadcast when they are measured to be small, so a small batch does not
-    shuffle a large target; otherwise both sides shuffle on the key, which holds at most one
-    target row per key. The source is read and aggregated once: its newest rows go to a work
-    folder, and measuring, dropping and adding read them there.
-    """
-    columns = list(columns or target.columns)
-    staged = work_folder(source.sparkSession, "newest")
+def staged_newest(source, keys, order_by=(), columns=None):
+    """(newest rows per key, the work folder that holds them). The source is read and aggregated
+    once, whatever is done with its newest rows."""
+    spark = source.sparkSession
+    folder = work_folder(spark, "newest")
     newest = latest_per_key(source, keys, order_by, columns)
-    newest.write.parquet(staged)
-    newest = source.sparkSession.read.schema(newest.schema).parquet(staged)
+    newest.write.parquet(folder)
+    return spark.read.schema(newest.schema).parquet(folder), folder
+
+
+def merged(target, newest, keys, columns, max_broadcast_bytes=BROADCAST_BYTES):
+    """The target without the rows whose key is among the newest, and the newest.
+
+    The keys are broadcast when they are measured to be small, so a small batch does not shuffle a
+    large target; otherwise both sides shuffle on the key, which holds at most one target row per
+    key."""
     changed = newest.where(_keyed(keys)).select(*keys)
     if fits_broadcast(changed, max_broadcast_bytes):
         kept = target.join(F.broadcast(changed), list(keys), "left_anti")
@@ -58,3 +58,16 @@ def upsert(
             .unionByName(target.where(~_keyed(keys)))
         )
     return kept.select(*columns).unionByName(newest)
+
+
+def upsert(
+    target, source, keys, order_by=(), columns=None, max_broadcast_bytes=BROADCAST_BYTES
+):
+    """The target after every source row is inserted or has updated the target row of its key.
+
+    Target rows whose key the source has are dropped and the source's newest rows added. The newest
+    rows go to a work folder; measuring, dropping and adding read them there.
+    """
+    columns = list(columns or target.columns)
+    newest, _ = staged_newest(source, keys, order_by, columns)
+    return merged(target, newest, keys, columns, max_broadcast_bytes)

@@ -1,6 +1,6 @@
 """Whole jobs: sources, operators and sinks wired together."""
 
-from logweir.plans.metadata import MetadataJob, run_metadata_upsert
+from logweir.plans.metadata import MetadataJob, run_metadata_upsert, store_metadata
 from logweir.plans.price_watch import run_price_watch
 from logweir.plans.query_log import QueryLogJob, RunResult, run_query_log_etl
 from logweir.plans.usage import run_usage_bronze, run_usage_gold, run_usage_silver
@@ -15,4 +15,5 @@ __all__ = [
     "run_usage_bronze",
     "run_usage_gold",
     "run_usage_silver",
+    "store_metadata",
 ]

@@ -9,6 +9,7 @@ from logweir.operators.envelope import envelope, with_dense_guid
 from logweir.operators.parse import parse_messages
 from logweir.schemas import METADATA_EVENT, METADATA_GOLD
 from logweir.session import pin_utc
+from logweir.sinks.buckets import upsert_buckets
 from logweir.sinks.streams import default_checkpoint
 from logweir.sinks.tables import upsert_table, write_run
 from logweir.sources.messages import BODY, capture_available
@@ -22,6 +23,8 @@ class MetadataJob:
     `order_by` names message columns that say which of two messages is newer, such as an offset.
     `full_body` hashes arrival time and source label along with the payload, so that the same
     message captured twice has two content ids; without it the id depends on the payload only.
+    With `buckets`, a new table is dealt into so many by ontology, and a capture reads and rewrites
+    only those that it has ontologies for.
     """
 
     table: str
@@ -34,6 +37,7 @@ class MetadataJob:
     guid: str = "stable"
     bits: int = 512
     fmt: str = "parquet"
+    buckets: int = 0
 
 
 def metadata_rows(messages, job, now=None, stored=None):
@@ -66,6 +70,16 @@ def metadata_rows(messages, job, now=None, stored=None):
     return rows, bad
 
 
+def store_metadata(rows, job, token=None):
+    """Upsert rows by ontology into the job's table; `token` names their batch."""
+    order = [f"_order_{name}" for name in job.order_by if f"_order_{name}" in rows.columns]
+    settings = {"keys": ["ontology"], "order_by": order, "columns": METADATA_GOLD.names, "token": token}
+    if job.buckets:
+        upsert_buckets(rows, job.table, n_buckets=job.buckets, **settings)
+    else:
+        upsert_table(rows, job.table, fmt=job.fmt, **settings)
+
+
 def run_metadata_upsert(stream, job):
     """Take everything the stream holds now into the metadata table, then stop.
 
@@ -73,6 +87,8 @@ def run_metadata_upsert(stream, job):
     again after a failure replaces its own quarantine rows and leaves the table as it is when it
     was already in.
     """
+    if job.buckets and job.fmt != "parquet":
+        raise ValueError("only a parquet table is dealt into buckets")
     pin_utc(stream.sparkSession)
     checkpoint = job.checkpoint or default_checkpoint(job.table)
 
@@ -85,15 +101,7 @@ def run_metadata_upsert(stream, job):
             if job.quarantine and not bad.isEmpty():
                 write_run(bad, job.quarantine, name, job.fmt)
             if not rows.isEmpty():
-                upsert_table(
-                    rows,
-                    job.table,
-                    keys=["ontology"],
-                    order_by=[f"_order_{name}" for name in job.order_by],
-                    columns=METADATA_GOLD.names,
-                    fmt=job.fmt,
-                    token=name,
-                )
+                store_metadata(rows, job, name)
         finally:
             batch.unpersist()
 

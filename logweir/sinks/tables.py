@@ -8,9 +8,10 @@ transactions are used instead.
 
 from pyspark.sql import functions as F
 
-from logweir.operators.upsert import latest_per_key, upsert
+from logweir.operators.upsert import latest_per_key, merged, staged_newest
 from logweir.sources.folders import names_in, remove
-from logweir.sources.tables import VERSION, read_table, table_exists, versions
+from logweir.sources.tables import read_table, table_exists
+from logweir.sources.versions import VERSION, versions
 
 
 def append_table(df, path, fmt="parquet", partition_by=()):
@@ -108,4 +109,6 @@ def upsert_table(df, path, keys, order_by=(), columns=None, fmt="parquet", token
         _merge_delta(latest_per_key(df, keys, order_by, columns), path, keys)
     else:
         target = read_table(spark, path, fmt)
-        replace_table(upsert(target, df, keys, order_by, columns), path, fmt, token)
+        newest, folder = staged_newest(df, keys, order_by, columns or target.columns)
+        replace_table(merged(target, newest, keys, newest.columns), path, fmt, token)
+        remove(spark, folder)

@@ -1,5 +1,6 @@
 """Batch and streaming inputs."""
 
+from logweir.sources.buckets import read_buckets
 from logweir.sources.files import candidate_files, existing_paths, read_json_logs
 from logweir.sources.messages import capture_available, stream_messages
 from logweir.sources.tables import (
@@ -14,6 +15,7 @@ __all__ = [
     "candidate_files",
     "capture_available",
     "existing_paths",
+    "read_buckets",
     "read_json_logs",
     "read_table",
     "read_watchlist",

@@ -1,20 +1,9 @@
 """Table scans, batch and streaming."""
 
-
 from logweir.schemas import WATCHLIST
+from logweir.sources.buckets import OF, bucket_count, read_buckets
 from logweir.sources.folders import names_in
-
-VERSION = "version-"
-
-
-def versions(spark, path):
-    """Complete versions of a replaced table, oldest first. A version is complete once Spark's
-    committer has put its success marker there."""
-    return [
-        name
-        for name in names_in(spark, path)
-        if name.startswith(VERSION) and "_SUCCESS" in names_in(spark, f"{path}/{name}")
-    ]
+from logweir.sources.versions import VERSION, versions
 
 
 def current_path(spark, path, fmt="parquet"):
@@ -31,13 +20,19 @@ def table_exists(spark, path, fmt="parquet"):
     names = names_in(spark, path)
     if fmt == "delta":
         return "_delta_log" in names
+    if any(name.startswith(OF) for name in names):
+        return bool(versions(spark, f"{path}/{names[0]}"))
     if any(name.startswith(VERSION) for name in names):
         return bool(versions(spark, path))
     return any(not name.startswith(("_", ".")) or name == "_SUCCESS" for name in names)
 
 
 def read_table(spark, path, fmt="parquet", schema=None):
-    """A table by path. With a schema there is no inference, and a table without rows reads too."""
+    """A table by path. With a schema there is no inference, and a table without rows reads too. A
+    table dealt into buckets needs the schema."""
+    if fmt == "parquet" and schema is not None:
+        if bucket_count(spark, path):
+            return read_buckets(spark, path, schema)
     reader = spark.read.format(fmt)
     if schema is not None and fmt != "delta":
         reader = reader.schema(schema)

@@ -227,6 +227,7 @@ SQL = {
         AND event_type NOT IN ('view', 'click')""",
     "metadata_upsert": UPSERTED,
     "metadata_upsert_shuffled": UPSERTED,
+    "metadata_upsert_bucketed": UPSERTED,
     "metadata_capture": f"""
       WITH source AS (
         SELECT 'onto_' || (user_id * 20) AS ontology, 'file_' || event_id || '.owl' AS filename,
@@ -323,3 +324,6 @@ SQL = {
       FROM part""",
     "price_report_lines": f"SELECT line FROM ({PRICES})",
 }
+
+# The same rows by another way.
+SQL["metadata_capture_bucketed"] = SQL["metadata_capture"]

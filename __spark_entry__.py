@@ -27,16 +27,20 @@ from logweir.fixed_values import (
 from logweir.plans import (
     MetadataJob,
     QueryLogJob,
+    correct_usage_gold,
+    read_usage_gold,
     run_metadata_upsert,
     run_price_watch,
     run_query_log_etl,
     run_usage_bronze,
+    run_usage_bronze_split,
     run_usage_gold,
+    run_usage_gold_stream,
     run_usage_silver,
     store_metadata,
 )
 from logweir.plans.query_log import read_query_log
-from logweir.schemas import METADATA_EVENT, METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
+from logweir.schemas import MESSAGE_QUARANTINE, METADATA_EVENT, METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
 from logweir.session import pin_utc, work_folder
 from logweir.sinks import append_table, replace_table, upsert_buckets
 from logweir.sources import (
@@ -359,10 +363,7 @@ def usage_stream_gold(spark, sf):
         for query in run_usage_bronze(messages, bronze, "bus-1"):
             query.awaitTermination()
         run_usage_silver(spark, bronze, silver, "tenant-1").awaitTermination()
-    known = B.metadata(B.table(spark, sf, "part"))
-    for name in METADATA_GOLD.names[len(METADATA_FIELDS) :]:
-        known = known.withColumn(name, F.lit(None).cast(METADATA_GOLD[name].dataType))
-    replace_table(known, f"{folder}/metadata")
+    replace_table(_known(B.metadata(B.table(spark, sf, "part"))), f"{folder}/metadata")
     run_usage_gold(spark, silver, f"{folder}/metadata", gold)
     return read_table(spark, gold).select(*USAGE_FIELDS, "filename", "size_in_kb")
 
@@ -389,6 +390,104 @@ def usage_quarantine(spark, sf):
     return read_table(spark, bad).select(F.col(BODY).cast("string").alias(BODY))
 
 
+def usage_split_bronze(spark, sf):
+    table, _ = _split_job(spark, sf)
+    return read_table(spark, table, schema=USAGE_BRONZE).select(*USAGE_FIELDS, "input_file_path")
+
+
+def usage_split_quarantine(spark, sf):
+    _, bad = _split_job(spark, sf)
+    rows = read_table(spark, bad, schema=MESSAGE_QUARANTINE)
+    return rows.select(F.col(BODY).cast("string").alias(BODY))
+
+
+def _split_job(spark, sf):
+    """Messages, some malformed, to bronze and quarantine with one read of each delivery."""
+    folder = work_folder(spark, "split")
+    table, bad = f"{folder}/bronze", f"{folder}/malformed"
+    broken = partial(B.usage_messages, broken=True)
+    for messages in _deliveries(spark, sf, folder, broken, as_text=True):
+        run_usage_bronze_split(messages, table, bad, "bus-1").awaitTermination()
+    return table, bad
+
+
+def usage_stream_clock(spark, sf):
+    """Micro-batches, rows and whether each row's stamp lies within the run of its micro-batch."""
+    folder = work_folder(spark, "stamps")
+    table, runs = f"{folder}/bronze", []
+    for messages in _deliveries(spark, sf, folder, B.usage_messages, as_text=True):
+        started = datetime.now(timezone.utc)
+        for query in run_usage_bronze(messages, table, "bus-1"):
+            query.awaitTermination()
+        runs.append((started, datetime.now(timezone.utc)))
+    stamp = F.col("TimeGenerated")
+    within = [stamp.between(F.lit(first), F.lit(last)) for first, last in runs]
+    return read_table(spark, table, schema=USAGE_BRONZE).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct(stamp).alias("n_stamps"),
+        F.count_if(within[0] | within[1]).alias("n_within"),
+    )
+
+
+def usage_stream_once(spark, sf):
+    """The second delivery holds every event of the first again, in a stream begun anew."""
+    folder = work_folder(spark, "once")
+    inbox, table = f"{folder}/inbox", f"{folder}/bronze"
+    events = B.table(spark, sf, "events")
+    early = F.col("event_id") <= F.lit(events.agg(F.avg("event_id")).first()[0])
+    for hour, part in enumerate((events.where(early), events)):
+        arrived = F.timestamp_add("HOUR", F.lit(hour), B.fixed_now().cast("timestamp"))
+        messages = B.usage_messages(part).withColumn("arrived", arrived)
+        messages.write.mode("append").parquet(inbox)
+        stream = stream_messages(spark, "parquet", inbox, messages.schema)
+        for query in run_usage_bronze(stream, table, "bus-1", once_within="6 hours", arrived="arrived"):
+            query.awaitTermination()
+    return read_table(spark, table, schema=USAGE_BRONZE).select(*USAGE_FIELDS)
+
+
+def _known(metadata):
+    """Metadata as a gold table has it, without an envelope."""
+    for name in METADATA_GOLD.names[len(METADATA_FIELDS) :]:
+        metadata = metadata.withColumn(name, F.lit(None).cast(METADATA_GOLD[name].dataType))
+    return metadata
+
+
+def _streamed_gold(spark, sf, folder):
+    """Silver to gold as a stream in two deliveries; the metadata is replaced between them, by one
+    with another size for every third file."""
+    part = B.metadata(B.table(spark, sf, "part"))
+    silver, gold, known = f"{folder}/silver", f"{folder}/gold", f"{folder}/metadata"
+    grown = F.concat("size_in_kb", F.lit("0"))
+    number = F.regexp_extract("ontology", "([0-9]+)", 1).cast("long")
+    later = part.withColumn("size_in_kb", F.when(number % 3 == 0, grown).otherwise(F.col("size_in_kb")))
+    for messages, metadata in zip(_deliveries(spark, sf, folder, B.usage_messages, as_text=True), (part, later)):
+        replace_table(_known(metadata), known)
+        for query in run_usage_bronze(messages, f"{folder}/bronze", "bus-1"):
+            query.awaitTermination()
+        run_usage_silver(spark, f"{folder}/bronze", silver, "tenant-1").awaitTermination()
+        run_usage_gold_stream(spark, silver, known, gold, bits=256).awaitTermination()
+    return gold, _known(part), _known(later)
+
+
+def usage_gold_stream(spark, sf):
+    gold, _, _ = _streamed_gold(spark, sf, work_folder(spark, "gold"))
+    return read_usage_gold(spark, gold).select(*USAGE_FIELDS, "filename", "size_in_kb")
+
+
+def usage_gold_corrected(spark, sf):
+    gold, old, new = _streamed_gold(spark, sf, work_folder(spark, "gold"))
+    correct_usage_gold(spark, gold, old, new, "later")
+    return read_usage_gold(spark, gold).select(*USAGE_FIELDS, "filename", "size_in_kb")
+
+
+def metadata_changes(spark, sf):
+    """What the updates of the line items change in the metadata."""
+    part = B.metadata(B.table(spark, sf, "part"))
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    updated = O.upsert(part, _part_updates(spark, sf), ["ontology"], order)
+    return O.changed_keys(part, updated, ["ontology"], ["filename", "size_in_kb"])
+
+
 def captured_rows(spark, sf):
     """Events by an activity that the driver has as rows."""
     known = rows_table(spark, B.CAPTURED_ACTIVITIES, "event_type string, activity string")
@@ -581,6 +680,13 @@ QUERIES = {
     "usage_stream_gold": usage_stream_gold,
     "usage_bronze_stream": usage_bronze_stream,
     "usage_quarantine": usage_quarantine,
+    "usage_split_bronze": usage_split_bronze,
+    "usage_split_quarantine": usage_split_quarantine,
+    "usage_stream_clock": usage_stream_clock,
+    "usage_stream_once": usage_stream_once,
+    "usage_gold_stream": usage_gold_stream,
+    "usage_gold_corrected": usage_gold_corrected,
+    "metadata_changes": metadata_changes,
     "captured_rows": captured_rows,
     "layer_validation": layer_validation,
     "layer_preview": layer_preview,

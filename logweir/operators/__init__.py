@@ -1,5 +1,6 @@
 """DataFrame to DataFrame operators."""
 
+from logweir.operators.changes import changed_keys
 from logweir.operators.enrich import enrich_usage, repeated_keys
 from logweir.operators.envelope import add_identity, envelope
 from logweir.operators.parse import parse_messages, parse_query_log, split_malformed
@@ -11,6 +12,7 @@ from logweir.operators.watermark import latest_checkpoint, next_checkpoint, sinc
 
 __all__ = [
     "add_identity",
+    "changed_keys",
     "dense_sequence",
     "enrich_usage",
     "envelope",

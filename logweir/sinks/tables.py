@@ -44,6 +44,35 @@ def write_run(df, path, run_id, fmt="parquet", partition_by=()):
         )
 
 
+def run_is_written(spark, path, run_id):
+    """True when the rows of the run are in the parquet table, whole."""
+    return "_SUCCESS" in names_in(spark, f"{path}/ingest_run={run_id}")
+
+
+def replace_partitions(df, path, partition_by, token):
+    """Replace the partitions of a parquet table that `df` has rows of, and no other. The frame may
+    read the table.
+
+    The new rows are written next to the table first, under the token. A call that died while
+    partitions were being exchanged is completed by one with the same token, which takes those rows
+    and does not work them out again."""
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staged = f"{parent}/_replaced/{name}/{token}"
+    if "_SUCCESS" not in names_in(spark, staged):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    (
+        rows.select(*df.columns)
+        .hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    remove(spark, staged)
+
+
 def published_number(spark, path, fmt="parquet"):
     """The number that the newest version carries as its token, 0 when it has none. Delta numbers
     its versions itself."""

@@ -3,40 +3,60 @@
 from pyspark.sql import functions as F
 
 from logweir.fixed_values import METADATA_LOG_TYPE, METADATA_TABLE_TYPE, USAGE_FIELDS
+from logweir.functions import content_id
 from logweir.operators.enrich import enrich_usage
 from logweir.operators.envelope import add_identity, envelope
 from logweir.operators.parse import parse_messages
 from logweir.schemas import USAGE_EVENT
 from logweir.sources.messages import BODY
+from logweir.streaming.once import once
 
 
 def _now(now):
     return F.current_timestamp() if now is None else now
 
 
-def bronze_rows(messages, label, *, schema=USAGE_EVENT, now=None, keep_malformed=False):
+def bronze_columns(label, schema=USAGE_EVENT, now=None):
+    return [*schema.names, _now(now).alias("TimeGenerated"), F.lit(label).alias("input_file_path")]
+
+
+def malformed_columns(now=None):
+    return [BODY, _now(now).alias("TimeGenerated")]
+
+
+def message_content(schema=USAGE_EVENT):
+    """What tells a parsed message from others: its fields, or its body where that is malformed."""
+    body = F.sha2(F.coalesce(F.col(BODY), F.lit(b"")), 256)
+    return F.when(F.col("malformed"), body).otherwise(content_id(schema.names, 256))
+
+
+def parsed_messages(messages, *, schema=USAGE_EVENT, once_within=None, arrived=None):
+    """Fields, body and `malformed` of a stream's messages; with `once_within`, such as "1 hour",
+    without those delivered again within that time of arrival."""
+    parsed = parse_messages(messages, schema, keep=[arrived] if arrived else [])
+    if once_within:
+        parsed = once(parsed, message_content(schema), arrived, once_within)
+    return parsed
+
+
+def bronze_rows(
+    messages, label, *, schema=USAGE_EVENT, now=None, keep_malformed=False, once_within=None, arrived=None
+):
     """Parsed messages with their arrival time and source label.
 
     Malformed messages are left to `malformed_rows`; with `keep_malformed` they stay here as rows
     of NULL fields.
     """
-    parsed = parse_messages(messages, schema)
+    parsed = parsed_messages(messages, schema=schema, once_within=once_within, arrived=arrived)
     if not keep_malformed:
         parsed = parsed.where(~F.col("malformed"))
-    return parsed.select(
-        *schema.names,
-        _now(now).alias("TimeGenerated"),
-        F.lit(label).alias("input_file_path"),
-    )
+    return parsed.select(*bronze_columns(label, schema, now))
 
 
-def malformed_rows(messages, *, schema=USAGE_EVENT, now=None):
+def malformed_rows(messages, *, schema=USAGE_EVENT, now=None, once_within=None, arrived=None):
     """The messages `bronze_rows` leaves out, as they came."""
-    return (
-        parse_messages(messages, schema)
-        .where("malformed")
-        .select(BODY, _now(now).alias("TimeGenerated"))
-    )
+    parsed = parsed_messages(messages, schema=schema, once_within=once_within, arrived=arrived)
+    return parsed.where("malformed").select(*malformed_columns(now))
 
 
 def silver_rows(

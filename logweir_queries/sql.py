@@ -147,6 +147,21 @@ STORED_LINES = f"""
   FROM events WHERE event_id % 50 > 1
 """
 
+
+
+def _streamed_gold(grown):
+    """Gold as a stream; `grown` says which rows have the later metadata."""
+    return f"""
+      WITH usage AS (
+        SELECT {USAGE}, event_id > (SELECT avg(event_id) FROM events) AS late FROM events)
+      SELECT start_date, start_time, id, ontology, activity,
+        'file_' || p_partkey || '.owl' AS filename,
+        CASE WHEN {grown} AND p_partkey % 3 = 0 THEN p_size || '0'
+          ELSE CAST(p_size AS VARCHAR) END AS size_in_kb
+      FROM usage LEFT JOIN part
+        ON usage.ontology = 'onto_' || p_partkey AND usage.activity = 'Download'"""
+
+
 SQL = {
     "usage_parse_json": f"SELECT event_id, {USAGE} FROM events",
     "usage_props_json": "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events",
@@ -262,6 +277,22 @@ SQL = {
     "usage_quarantine": """
       SELECT substr('{"start_date":"' || strftime(ts, '%d/%b/%Y') || '"', 1, 20) AS body
       FROM events WHERE event_id % 10 = 0""",
+    "usage_split_bronze": f"""
+      SELECT {USAGE}, 'bus-1' AS input_file_path FROM events WHERE event_id % 10 <> 0""",
+    "usage_split_quarantine": """
+      SELECT substr('{"start_date":"' || strftime(ts, '%d/%b/%Y') || '"', 1, 20) AS body
+      FROM events WHERE event_id % 10 = 0""",
+    "usage_stream_clock": """
+      SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS n_stamps, count(*) AS n_within FROM events""",
+    "usage_stream_once": f"SELECT DISTINCT {USAGE} FROM events",
+    "usage_gold_stream": _streamed_gold("late"),
+    "usage_gold_corrected": _streamed_gold("TRUE"),
+    "metadata_changes": f"""
+      WITH updated AS ({UPSERTED}), part_metadata AS ({_PART_METADATA})
+      SELECT ontology, CASE WHEN p.ontology IS NULL THEN 'added'
+        WHEN u.ontology IS NULL THEN 'removed' ELSE 'updated' END AS change
+      FROM updated u FULL JOIN part_metadata p USING (ontology)
+      WHERE (u.filename, u.size_in_kb) IS DISTINCT FROM (p.filename, p.size_in_kb)""",
     "captured_rows": """
       SELECT CASE event_type WHEN 'purchase' THEN 'Download' WHEN 'click' THEN 'Login'
         WHEN 'view' THEN 'Data Query' WHEN 'error' THEN 'API Access' END AS activity,

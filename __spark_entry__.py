@@ -24,6 +24,7 @@ from logweir.fixed_values import (
     QUERY_TABLE_TYPE,
     USAGE_FIELDS,
 )
+from logweir.operators.envelope import SEQUENCE
 from logweir.plans import (
     MetadataJob,
     QueryLogJob,
@@ -42,7 +43,7 @@ from logweir.plans import (
 from logweir.plans.query_log import read_query_log
 from logweir.schemas import MESSAGE_QUARANTINE, METADATA_EVENT, METADATA_GOLD, USAGE_BRONZE, USAGE_EVENT
 from logweir.session import pin_utc, work_folder
-from logweir.sinks import append_table, replace_table, upsert_buckets
+from logweir.sinks import append_table, replace_table, stream_append, upsert_buckets
 from logweir.sources import (
     candidate_files,
     read_buckets,
@@ -51,9 +52,11 @@ from logweir.sources import (
     read_watchlist,
     rows_table,
     stream_messages,
+    stream_table,
 )
 from logweir.sources.messages import BODY
 from logweir.streaming import bronze_rows, gold_rows, silver_rows
+from logweir.streaming.sequence import number_stream
 from logweir_queries import bindings as B
 from logweir_queries.sql import SQL
 
@@ -157,6 +160,23 @@ def log_guid_dense(spark, sf):
     )
 
 
+def log_guid_dense_stream(spark, sf):
+    """As `log_guid_dense`, on a stream that is begun anew for the second half of the events."""
+    folder = work_folder(spark, "numbers")
+    inbox, table = f"{folder}/inbox", f"{folder}/rows"
+    events = _event_source(spark, sf)
+    early = F.col("event_id") <= F.lit(events.agg(F.avg("event_id")).first()[0])
+    for part in (early, ~early):
+        events.where(part).write.mode("append").parquet(inbox)
+        rows = stream_table(spark, inbox, events.schema)
+        numbered = number_stream(rows, SEQUENCE, X.minute_stamp(F.col("ts")))
+        stream_append(O.add_identity(numbered, time="ts", bits=256, guid="numbered"), table).awaitTermination()
+    return read_table(spark, table).select(
+        F.expr("MetadataLogGuid DIV 1000000000L").alias("minute"),
+        (F.col("MetadataLogGuid") % 10**9).alias("place"),
+    )
+
+
 def ingest_clock(spark, sf):
     """Whether the ingest time of each row lies within the run that wrote it."""
     path = f"{work_folder(spark, 'clock')}/rows"
@@ -658,6 +678,7 @@ QUERIES = {
     "query_log_envelope": query_log_envelope,
     "content_id_256": content_id_256,
     "log_guid_dense": log_guid_dense,
+    "log_guid_dense_stream": log_guid_dense_stream,
     "ingest_clock": ingest_clock,
     "log_guid_stable": log_guid_stable,
     "log_since_watermark": log_since_watermark,

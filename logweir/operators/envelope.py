@@ -11,7 +11,7 @@ SEQUENCE = "_sequence"
 def _guid(guid, content, time):
     if guid == "stable":
         return stable_guid(content)
-    if guid == "dense":
+    if guid in ("dense", "numbered"):
         return dense_guid(minute_stamp(time), F.col(SEQUENCE))
     raise ValueError(f"unknown row id: {guid}")
 
@@ -76,8 +76,9 @@ def envelope(
 
 
 def add_identity(df, time="MetadataLogTimeGenerated", id_columns=None, bits=512, guid="stable"):
-    """All columns, then the content id over them and the row id."""
-    columns = df.columns
+    """All columns, then the content id over them and the row id. With `guid="numbered"` the rows
+    have their number within the minute already, in the column SEQUENCE, which goes."""
+    columns = [name for name in df.columns if name != SEQUENCE]
     content = content_id(id_columns or columns, bits)
     if guid == "dense":
         df = nine_digit_sequence(df, SEQUENCE, minute_stamp(F.col(time)))

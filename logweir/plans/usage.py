@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.fixed_values import FILE_ACTIVITY
-from logweir.functions import source_label
+from logweir.functions import minute_stamp, source_label
 from logweir.operators.changes import changed_keys
 from logweir.operators.enrich import enrich_usage, repeated_keys
+from logweir.operators.envelope import SEQUENCE
 from logweir.operators.joins import bounded_join
 from logweir.schemas import METADATA_GOLD, USAGE_BRONZE, USAGE_GOLD, USAGE_SILVER
 from logweir.session import pin_utc
@@ -22,6 +23,7 @@ from logweir.streaming.layers import (
     parsed_messages,
     silver_rows,
 )
+from logweir.streaming.sequence import number_stream
 
 #: Partitions of streamed gold: the micro-batch, and a part of the ontologies.
 GOLD_RUN, GOLD_PART = "ingest_run", "ontology_part"
@@ -115,9 +117,13 @@ def run_usage_gold_stream(
 
     Each micro-batch is joined with the metadata that is current when it is taken, so a replaced or
     upserted metadata table counts from the next batch on; `correct_usage_gold` brings what is stored
-    up to it. The rows of a batch are one run of the table, parted by ontology."""
+    up to it. The rows of a batch are one run of the table, parted by ontology. With `guid="dense"`
+    the row ids number each minute's rows on over all batches."""
     pin_utc(spark)
     rows = stream_table(spark, silver, USAGE_SILVER, **(limits or {})).select(*USAGE_SILVER.names)
+    if guid == "dense":
+        rows = number_stream(rows, SEQUENCE, minute_stamp(F.col("MetadataLogTimeGenerated")))
+        guid = "numbered"
 
     def tables(batch):
         gold = gold_rows(batch, _current_metadata(spark, metadata), bits=bits, guid=guid)

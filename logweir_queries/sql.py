@@ -358,3 +358,4 @@ SQL = {
 
 # The same rows by another way.
 SQL["metadata_capture_bucketed"] = SQL["metadata_capture"]
+SQL["log_guid_dense_stream"] = SQL["log_guid_dense"]

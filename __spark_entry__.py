@@ -530,6 +530,28 @@ def layer_validation(spark, sf):
     )
 
 
+def _kept_layers(spark, sf):
+    """The events as a layer, and a layer after it that lost every 997th event and repeated the one
+    that is 500 ahead, on days that both have."""
+    events = B.table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    lost = F.pmod("event_id", F.lit(997)) == 5
+    again = events.where(F.pmod("event_id", F.lit(997)) == 505)
+    return events, events.where(~lost).unionByName(again)
+
+
+def layer_checksums(spark, sf):
+    """Days whose rows differ between the layers, with their numbers of rows."""
+    day, content = F.to_date("ts"), X.content_id(["event_id", "event_type"], 256)
+    upper, lower = (O.day_checksums(layer, day, content) for layer in _kept_layers(spark, sf))
+    return O.differing_days(upper, lower)
+
+
+def layer_reconcile(spark, sf):
+    upper, lower = _kept_layers(spark, sf)
+    content = X.content_id(["event_id", "event_type"], 256)
+    return O.reconcile(upper, lower, F.to_date("ts"), content)
+
+
 def layer_preview(spark, sf):
     events = B.table(spark, sf, "events").select("event_id", "ts", "event_type")
     return O.preview_layers({"bronze": events}, 20, {"bronze": [F.desc("ts")]})["bronze"]
@@ -710,6 +732,8 @@ QUERIES = {
     "metadata_changes": metadata_changes,
     "captured_rows": captured_rows,
     "layer_validation": layer_validation,
+    "layer_checksums": layer_checksums,
+    "layer_reconcile": layer_reconcile,
     "layer_preview": layer_preview,
     "incremental_two_runs": incremental_two_runs,
     "incremental_late_runs": incremental_late_runs,

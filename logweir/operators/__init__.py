@@ -5,6 +5,7 @@ from logweir.operators.enrich import enrich_usage, repeated_keys
 from logweir.operators.envelope import add_identity, envelope
 from logweir.operators.parse import parse_messages, parse_query_log, split_malformed
 from logweir.operators.pricing import first_rows, newest_page, price_status
+from logweir.operators.reconcile import day_checksums, differing_days, reconcile
 from logweir.operators.sequence import dense_sequence, nine_digit_sequence
 from logweir.operators.upsert import latest_per_key, upsert
 from logweir.operators.validate import preview_layers, validate_layers
@@ -13,7 +14,9 @@ from logweir.operators.watermark import latest_checkpoint, next_checkpoint, sinc
 __all__ = [
     "add_identity",
     "changed_keys",
+    "day_checksums",
     "dense_sequence",
+    "differing_days",
     "enrich_usage",
     "envelope",
     "first_rows",
@@ -26,6 +29,7 @@ __all__ = [
     "parse_query_log",
     "preview_layers",
     "price_status",
+    "reconcile",
     "repeated_keys",
     "since",
     "split_malformed",

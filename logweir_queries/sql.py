@@ -298,6 +298,17 @@ SQL = {
         WHEN 'view' THEN 'Data Query' WHEN 'error' THEN 'API Access' END AS activity,
         count(*) AS n_events
       FROM events GROUP BY 1""",
+    "layer_checksums": """
+      WITH marked AS (
+        SELECT CAST(ts AS DATE) AS day, event_id % 997 = 5 AS lost, event_id % 997 = 505 AS again
+        FROM events)
+      SELECT day, count(*) AS n_upper, count(*) - count(*) FILTER (lost) + count(*) FILTER (again) AS n_lower
+      FROM marked GROUP BY day HAVING bool_or(lost) OR bool_or(again)""",
+    "layer_reconcile": """
+      SELECT CAST(ts AS DATE) AS day,
+        sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') AS content,
+        CAST(1 AS BIGINT) AS n_upper, CAST(CASE WHEN event_id % 997 = 5 THEN 0 ELSE 2 END AS BIGINT) AS n_lower
+      FROM events WHERE event_id % 997 IN (5, 505)""",
     "layer_validation": """
       WITH good AS (SELECT * FROM events WHERE event_id % 10 <> 0)
       SELECT 0 AS position, 'bronze' AS layer, count(*) AS n_rows,

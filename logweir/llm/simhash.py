@@ -125,17 +125,26 @@ def close_pairs(classes, max_bits):
     return a.join(b, verified & apart).select(F.col("a.word").alias("one"), F.col("b.word").alias("two"))
 
 
+def _checksum(edges):
+    """Number and sums of two hashes of different edges, whatever their order."""
+    hashes = [F.xxhash64("u", "v"), F.xxhash64(F.lit(1), "v", "u")]
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in hashes]
+    return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
+
+
 def components(nodes, edges):
     """`nodes` (node) with `root`: the smallest node reachable over `edges` (one, two).
 
     Alternating star steps: each node's larger neighbours, then its smaller ones, are tied to the
-    smallest node around it, until nothing moves. Each step is written to the shared folder. Only
-    minima are taken per node, partly before the shuffle; no node's neighbours meet in one task."""
+    smallest node around it, until nothing moves, which a checksum of the edges tells. Each step is
+    written to the shared folder. Only minima are taken per node, partly before the shuffle; no
+    node's neighbours meet in one task."""
     edges = written(
         edges.select(F.greatest("one", "two").alias("u"), F.least("one", "two").alias("v")).distinct(),
         "component-edges",
     )
-    while True:
+    before = _checksum(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -145,11 +154,11 @@ def components(nodes, edges):
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-        moved = written(small.where("u <> v").distinct(), "component-small")
-        same = moved.count() == edges.count() and not moved.join(edges, ["u", "v"], "left_anti").head(1)
-        edges = moved
-        if same:
+        edges = written(small.where("u <> v").distinct(), "component-small")
+        after = _checksum(edges)
+        if after == before:
             break
+        before = after
     roots = edges.groupBy("u").agg(F.min("v").alias("root"))
     linked = nodes.join(roots, nodes["node"] == roots["u"], "left")
     return linked.select("node", F.coalesce("root", "node").alias("root"))

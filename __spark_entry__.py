@@ -84,6 +84,14 @@ def usage_props_json(spark, sf):
     return O.parse_messages(events, schema, "props", keep=["event_id"]).select("event_id", "k")
 
 
+def usage_other_fields(spark, sf):
+    """What messages hold beside the usage fields: nested and repeated fields, a field that is not
+    text, and nothing."""
+    messages = B.extended_messages(B.table(spark, sf, "events"))
+    parsed = O.parse_messages(messages, USAGE_EVENT, keep=["event_id"], rest="rest")
+    return parsed.select("event_id", "id", "activity", F.to_json("rest").alias("rest"))
+
+
 def malformed_split(spark, sf):
     messages = B.usage_messages(B.table(spark, sf, "events"), broken=True)
     parsed = O.parse_messages(messages, USAGE_EVENT, keep=["event_id"])
@@ -107,6 +115,12 @@ def page_title_extract(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", X.page_title("html").alias("title"))
 
 
+def page_nested_element(spark, sf):
+    """Elements that nest their own kind, closed and left open, in the given pages."""
+    pages = B.nested_pages(B.table(spark, sf, "pages"))
+    return pages.select("page_id", X.element_text("html", "offer").alias("offer"))
+
+
 def json_log_scan(spark, sf):
     rows = read_json_logs(spark, [B.stage_json_logs(spark, sf)])
     return rows.select(
@@ -691,10 +705,12 @@ def price_report_lines(spark, sf):
 QUERIES = {
     "usage_parse_json": usage_parse_json,
     "usage_props_json": usage_props_json,
+    "usage_other_fields": usage_other_fields,
     "malformed_split": malformed_split,
     "log_split_24": log_split_24,
     "file_date_extract": file_date_extract,
     "page_title_extract": page_title_extract,
+    "page_nested_element": page_nested_element,
     "json_log_scan": json_log_scan,
     "envelope_core": envelope_core,
     "query_log_envelope": query_log_envelope,

@@ -34,7 +34,7 @@ ATTRIBUTES = ("filename", "size_in_kb")
 
 def run_usage_bronze(
     messages, table, label, *, started_at=None, quarantine=None, fmt="parquet", keep_malformed=False,
-    once_within=None, arrived=None, **trigger,
+    once_within=None, arrived=None, rest=None, **trigger,
 ):
     """Start the message stream into bronze; returns the running queries.
 
@@ -45,13 +45,14 @@ def run_usage_bronze(
     does both with one read.
 
     With `once_within`, such as "1 hour", a message that is delivered again within that time is left
-    out; `arrived` names the source's column of arrival, such as Kafka's `timestamp`.
+    out; `arrived` names the source's column of arrival, such as Kafka's `timestamp`. `rest` names a
+    VARIANT column for fields that the schema does not know.
     """
     pin_utc(messages.sparkSession)
     if started_at:
         label = source_label(label, started_at)
     again = {"once_within": once_within, "arrived": arrived}
-    rows = bronze_rows(messages, label, keep_malformed=keep_malformed, **again)
+    rows = bronze_rows(messages, label, keep_malformed=keep_malformed, rest=rest, **again)
     queries = [stream_append(rows, table, fmt, **trigger)]
     if quarantine:
         queries.append(stream_append(malformed_rows(messages, **again), quarantine, fmt, **trigger))
@@ -60,7 +61,7 @@ def run_usage_bronze(
 
 def run_usage_bronze_split(
     messages, table, quarantine, label, *, started_at=None, checkpoint=None, once_within=None,
-    arrived=None, **trigger,
+    arrived=None, rest=None, **trigger,
 ):
     """Start the message stream into bronze and quarantine at once; returns the running query.
 
@@ -69,11 +70,11 @@ def run_usage_bronze_split(
     pin_utc(messages.sparkSession)
     if started_at:
         label = source_label(label, started_at)
-    parsed = parsed_messages(messages, once_within=once_within, arrived=arrived)
+    parsed = parsed_messages(messages, once_within=once_within, arrived=arrived, rest=rest)
 
     def tables(batch):
         return {
-            table: batch.where(~F.col("malformed")).select(*bronze_columns(label)),
+            table: batch.where(~F.col("malformed")).select(*bronze_columns(label, rest=rest)),
             quarantine: batch.where("malformed").select(*malformed_columns()),
         }
 

@@ -16,8 +16,9 @@ def _now(now):
     return F.current_timestamp() if now is None else now
 
 
-def bronze_columns(label, schema=USAGE_EVENT, now=None):
-    return [*schema.names, _now(now).alias("TimeGenerated"), F.lit(label).alias("input_file_path")]
+def bronze_columns(label, schema=USAGE_EVENT, now=None, rest=None):
+    stamp = [_now(now).alias("TimeGenerated"), F.lit(label).alias("input_file_path")]
+    return [*schema.names, *stamp, *([rest] if rest else [])]
 
 
 def malformed_columns(now=None):
@@ -30,27 +31,30 @@ def message_content(schema=USAGE_EVENT):
     return F.when(F.col("malformed"), body).otherwise(content_id(schema.names, 256))
 
 
-def parsed_messages(messages, *, schema=USAGE_EVENT, once_within=None, arrived=None):
+def parsed_messages(messages, *, schema=USAGE_EVENT, once_within=None, arrived=None, rest=None):
     """Fields, body and `malformed` of a stream's messages; with `once_within`, such as "1 hour",
     without those delivered again within that time of arrival."""
-    parsed = parse_messages(messages, schema, keep=[arrived] if arrived else [])
+    parsed = parse_messages(messages, schema, keep=[arrived] if arrived else [], rest=rest)
     if once_within:
         parsed = once(parsed, message_content(schema), arrived, once_within)
     return parsed
 
 
 def bronze_rows(
-    messages, label, *, schema=USAGE_EVENT, now=None, keep_malformed=False, once_within=None, arrived=None
+    messages, label, *, schema=USAGE_EVENT, now=None, keep_malformed=False, once_within=None,
+    arrived=None, rest=None,
 ):
     """Parsed messages with their arrival time and source label.
 
     Malformed messages are left to `malformed_rows`; with `keep_malformed` they stay here as rows
-    of NULL fields.
+    of NULL fields. `rest` names a VARIANT column for what the schema does not know.
     """
-    parsed = parsed_messages(messages, schema=schema, once_within=once_within, arrived=arrived)
+    parsed = parsed_messages(
+        messages, schema=schema, once_within=once_within, arrived=arrived, rest=rest
+    )
     if not keep_malformed:
         parsed = parsed.where(~F.col("malformed"))
-    return parsed.select(*bronze_columns(label, schema, now))
+    return parsed.select(*bronze_columns(label, schema, now, rest))
 
 
 def malformed_rows(messages, *, schema=USAGE_EVENT, now=None, once_within=None, arrived=None):

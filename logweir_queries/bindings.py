@@ -63,6 +63,18 @@ def usage_messages(events, broken=False):
     return events.select("event_id", _body(usage_columns(), broken))
 
 
+def extended_messages(events):
+    """Usage messages with more in them: of every three, one has nested and numeric fields of its
+    own, one a numeric activity and a field twice, and one nothing more."""
+    own = _text('{"id":"np', F.col("user_id"), '","activity":')
+    nested = _text(own, '"Login","extra":{"n":', F.col("event_id"), ',"kinds":["', F.col("event_type"), '",null]}}')
+    wrong = _text(own, F.col("user_id"), ',"seen":1,"seen":"', F.col("event_type"), '"}')
+    plain = _text(own, '"Login"}')
+    kind = F.col("event_id") % 3
+    body = F.when(kind == 0, nested).when(kind == 1, wrong).otherwise(plain)
+    return events.select("event_id", body.cast("binary").alias(BODY))
+
+
 def usage(events):
     return events.select(*usage_columns())
 
@@ -182,6 +194,17 @@ def priced_pages(pages):
     return pages.select("page_id", "url", F.replace("html", F.lit("</body>"), element).alias("html"))
 
 
+def nested_pages(pages):
+    """The given pages with an element ahead of the end of their body that nests two of its kind; in
+    every third one of those is left open."""
+    number = F.col("page_id")
+    inner = F.when(number % 3 == 0, "").otherwise("</div>")
+    element = _text(
+        '<div id="offer">a', number, "<div>b<b>c</b><div class='d'>d</div>e", inner, "f</div></body>"
+    )
+    return pages.select("page_id", "url", F.replace("html", F.lit("</body>"), element).alias("html"))
+
+
 def page_watchlist(pages):
     """Three products of each page."""
     return pages.select("page_id", "url", F.explode(F.array(*map(F.lit, range(3)))).alias("k")).select(

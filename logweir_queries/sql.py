@@ -165,6 +165,17 @@ def _streamed_gold(grown):
 SQL = {
     "usage_parse_json": f"SELECT event_id, {USAGE} FROM events",
     "usage_props_json": "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events",
+    "usage_other_fields": """
+      SELECT event_id, 'np' || user_id AS id,
+        CASE WHEN event_id % 3 = 1 THEN CAST(user_id AS VARCHAR) ELSE 'Login' END AS activity,
+        CASE event_id % 3
+          WHEN 0 THEN '{"extra":{"kinds":["' || event_type || '",null],"n":' || event_id || '}}'
+          WHEN 1 THEN '{"activity":' || user_id || ',"seen":[1,"' || event_type || '"]}' END AS rest
+      FROM events""",
+    "page_nested_element": """
+      SELECT page_id, CASE WHEN contains(html, '</body>') THEN 'a' || page_id || 'bcd'
+        || CASE WHEN page_id % 3 = 0 THEN '' ELSE 'ef' END END AS offer
+      FROM pages""",
     "malformed_split": f"""
       SELECT event_id, event_id % 10 = 0 AS malformed,
         CASE WHEN event_id % 10 <> 0 THEN id END AS id,

@@ -12,7 +12,7 @@ from logweir.session import pin_utc
 from logweir.sinks.buckets import upsert_buckets
 from logweir.sinks.streams import default_checkpoint
 from logweir.sinks.tables import upsert_table, write_run
-from logweir.sources.messages import BODY, capture_available
+from logweir.sources.messages import BODY, capture_available, capture_for
 from logweir.sources.tables import read_table, table_exists
 
 
@@ -80,8 +80,10 @@ def store_metadata(rows, job, token=None):
         upsert_table(rows, job.table, fmt=job.fmt, **settings)
 
 
-def run_metadata_upsert(stream, job):
-    """Take everything the stream holds now into the metadata table, then stop.
+def run_metadata_upsert(stream, job, seconds=None):
+    """Take everything the stream holds now into the metadata table, then stop; returns the ended
+    query. With `seconds`, stop after the batch that is in hand then, and return whether everything
+    was taken; the next call goes on where this one ended.
 
     The batch is kept for its two outputs. Its name marks what is written, so a batch that comes
     again after a failure replaces its own quarantine rows and leaves the table as it is when it
@@ -105,4 +107,6 @@ def run_metadata_upsert(stream, job):
         finally:
             batch.unpersist()
 
-    return capture_available(stream, take, checkpoint)
+    if seconds is None:
+        return capture_available(stream, take, checkpoint)
+    return capture_for(stream, take, checkpoint, seconds)

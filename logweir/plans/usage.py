@@ -23,6 +23,7 @@ from logweir.streaming.layers import (
     parsed_messages,
     silver_rows,
 )
+from logweir.streaming.outcomes import OUTCOME
 from logweir.streaming.sequence import number_stream
 
 #: Partitions of streamed gold: the micro-batch, and a part of the ontologies.
@@ -61,12 +62,13 @@ def run_usage_bronze(
 
 def run_usage_bronze_split(
     messages, table, quarantine, label, *, started_at=None, checkpoint=None, once_within=None,
-    arrived=None, rest=None, **trigger,
+    arrived=None, rest=None, outcomes=None, **trigger,
 ):
     """Start the message stream into bronze and quarantine at once; returns the running query.
 
     Each message is read and parsed once. Both tables are parquet and get the rows of a micro-batch
-    as one run; a batch that died between them is completed when it comes again."""
+    as one run; a batch that died between them is completed when it comes again. `outcomes`, made by
+    `watch_outcomes`, gets one row for each micro-batch."""
     pin_utc(messages.sparkSession)
     if started_at:
         label = source_label(label, started_at)
@@ -78,7 +80,15 @@ def run_usage_bronze_split(
             quarantine: batch.where("malformed").select(*malformed_columns()),
         }
 
-    return stream_tables(parsed, tables, checkpoint or default_checkpoint(table), **trigger)
+    name = None
+    if outcomes:
+        name = outcomes.query_name
+        parsed = parsed.observe(
+            OUTCOME,
+            F.count_if(~F.col("malformed")).alias("n_good"),
+            F.count_if("malformed").alias("n_malformed"),
+        )
+    return stream_tables(parsed, tables, checkpoint or default_checkpoint(table), name=name, **trigger)
 
 
 def run_usage_silver(spark, bronze, table, tenant, *, fmt="parquet", limits=None, **trigger):
@@ -131,7 +141,7 @@ def run_usage_gold_stream(
         return {table: gold.withColumn(GOLD_PART, _gold_part(parts))}
 
     checkpoint = checkpoint or default_checkpoint(table)
-    return stream_tables(rows, tables, checkpoint, partition_by=[GOLD_PART], **trigger)
+    return stream_tables(rows, tables, checkpoint, partition_by={table: [GOLD_PART]}, **trigger)
 
 
 def _gold_part(parts):

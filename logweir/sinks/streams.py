@@ -31,25 +31,30 @@ def triggered(writer, available_now=True, interval=None):
     return writer.trigger(processingTime=interval) if interval else writer
 
 
-def stream_tables(df, tables, checkpoint, *, partition_by=(), available_now=True, interval=None):
+def stream_tables(
+    df, tables, checkpoint, *, partition_by=None, name=None, available_now=True, interval=None
+):
     """Start a stream into several parquet tables with one read of its source; returns the query.
 
     `tables(batch)` gives {path: rows} for a micro-batch, which is kept while they are written. The
-    rows of a batch are a run of their table, under the batch's name. A batch that died between two
+    rows of a batch are a run of their table, under the batch's name, parted by what `partition_by`
+    has for its path. A batch that died between two
     tables comes again with the same name, and the tables that it is in already are left alone."""
     query_id = Future()
 
     def take(batch, batch_id):
-        name = f"{query_id.result()}-{batch_id}"
+        run = f"{query_id.result()}-{batch_id}"
         spark, kept = batch.sparkSession, batch.persist()
         try:
             for path, rows in tables(kept).items():
-                if not run_is_written(spark, path, name):
-                    write_run(rows, path, name, partition_by=partition_by)
+                if not run_is_written(spark, path, run):
+                    write_run(rows, path, run, partition_by=(partition_by or {}).get(path, ()))
         finally:
             kept.unpersist()
 
     writer = df.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     query = triggered(writer, available_now, interval).start()
     query_id.set_result(query.id)
     return query

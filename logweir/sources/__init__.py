@@ -2,7 +2,7 @@
 
 from logweir.sources.buckets import read_buckets
 from logweir.sources.files import candidate_files, existing_paths, read_json_logs
-from logweir.sources.messages import capture_available, stream_messages
+from logweir.sources.messages import capture_available, capture_for, stream_messages
 from logweir.sources.tables import (
     read_table,
     read_watchlist,
@@ -14,6 +14,7 @@ from logweir.sources.tables import (
 __all__ = [
     "candidate_files",
     "capture_available",
+    "capture_for",
     "existing_paths",
     "read_buckets",
     "read_json_logs",

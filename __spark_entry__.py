@@ -33,6 +33,7 @@ from logweir.plans import (
     run_metadata_upsert,
     run_price_watch,
     run_query_log_etl,
+    run_query_log_stream,
     run_usage_bronze,
     run_usage_bronze_split,
     run_usage_gold,
@@ -56,6 +57,7 @@ from logweir.sources import (
 )
 from logweir.sources.messages import BODY
 from logweir.streaming import bronze_rows, gold_rows, silver_rows
+from logweir.streaming.outcomes import read_outcomes, watch_outcomes
 from logweir.streaming.sequence import number_stream
 from logweir_queries import bindings as B
 from logweir_queries.sql import SQL
@@ -328,6 +330,42 @@ def metadata_capture_bucketed(spark, sf):
     return metadata_capture(spark, sf, buckets=16)
 
 
+def metadata_capture_timed(spark, sf):
+    """The stream is drained by captures of at most a second and the batch that is in hand then."""
+    folder = work_folder(spark, "metadata")
+    job = MetadataJob(table=f"{folder}/table", tenant="t", label="bus-1", order_by=["event_id"], buckets=16)
+    events = B.table(spark, sf, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    messages = B.metadata_messages(events)
+    quarter = F.floor((F.col("event_id") - first) * 4 / (last - first + 1))
+    for part in range(4):  # newer files hold newer events
+        messages.where(quarter == part).coalesce(1).write.mode("append").parquet(f"{folder}/inbox")
+    drained = False
+    while not drained:
+        one = stream_messages(spark, "parquet", f"{folder}/inbox", messages.schema, maxFilesPerTrigger=1)
+        drained = run_metadata_upsert(one, job, seconds=1)
+    return read_table(spark, job.table, schema=METADATA_GOLD).select(*METADATA_FIELDS)
+
+
+def usage_stream_outcomes(spark, sf):
+    """What three starts of the split stream did: two deliveries, and one start that finds nothing."""
+    folder = work_folder(spark, "outcomes")
+    table, bad, log = (f"{folder}/{name}" for name in ("bronze", "malformed", "outcomes"))
+    broken = partial(B.usage_messages, broken=True)
+
+    def run(messages):
+        outcomes = watch_outcomes(spark, log)
+        run_usage_bronze_split(messages, table, bad, "bus-1", outcomes=outcomes).awaitTermination()
+        rows = read_outcomes(outcomes)
+        spark.streams.removeListener(outcomes)
+        return rows
+
+    for messages in _deliveries(spark, sf, folder, broken, as_text=True):
+        run(messages)
+    rows = run(stream_messages(spark, "text", f"{folder}/inbox"))
+    return rows.select("batch_id", "status", "n_good", "n_malformed")
+
+
 def _deliveries(spark, sf, folder, bind, as_text=False):
     """The events' messages, delivered in two parts: after each, the stream over what is there."""
     events = B.table(spark, sf, "events")
@@ -627,6 +665,26 @@ def incremental_late_runs(spark, sf):
     return _stored_lines(spark, job)
 
 
+def _query_log_stream(spark, sf):
+    """The files as a stream, begun anew after more of them have come, for days that it has read."""
+    later = F.col("event_id") % 11 == 0
+    source = B.stage_json_logs(spark, sf, ~later)
+    job, _, _ = _query_log_job(spark, sf, source)
+    run_query_log_stream(spark, job).awaitTermination()
+    B.stage_json_logs(spark, sf, later, source)
+    run_query_log_stream(spark, job).awaitTermination()
+    return job
+
+
+def query_log_stream(spark, sf):
+    return _stored_lines(spark, _query_log_stream(spark, sf))
+
+
+def query_log_stream_quarantine(spark, sf):
+    job = _query_log_stream(spark, sf)
+    return spark.read.parquet(job.quarantine).select("raw", "reason")
+
+
 def query_log_status(spark, sf):
     """Outcomes of a run without files, one with lines and one without new lines."""
     job, first, last = _query_log_job(spark, sf, B.stage_json_logs(spark, sf))
@@ -729,6 +787,8 @@ QUERIES = {
     "metadata_upsert_bucketed": metadata_upsert_bucketed,
     "metadata_capture": metadata_capture,
     "metadata_capture_bucketed": metadata_capture_bucketed,
+    "metadata_capture_timed": metadata_capture_timed,
+    "usage_stream_outcomes": usage_stream_outcomes,
     "usage_enrich": usage_enrich,
     "usage_enrich_shuffled": usage_enrich_shuffled,
     "usage_enrich_concat": usage_enrich_concat,
@@ -753,6 +813,8 @@ QUERIES = {
     "layer_preview": layer_preview,
     "incremental_two_runs": incremental_two_runs,
     "incremental_late_runs": incremental_late_runs,
+    "query_log_stream": query_log_stream,
+    "query_log_stream_quarantine": query_log_stream_quarantine,
     "query_log_quarantine": query_log_quarantine,
     "query_log_checkpoint": query_log_checkpoint,
     "query_log_status": query_log_status,

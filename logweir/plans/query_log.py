@@ -3,7 +3,10 @@
 One pass over the files does it all. Counting unusable lines, filtering on the mark, splitting,
 the envelope, the write, and the next checkpoint's two maxima are one plan. The maxima are
 observed on the rows being written, so the checkpoint cannot run ahead of the table. Only when
-unusable lines were seen is there a second pass, over the days that had them.
+unusable lines were seen is there a second pass, over the days that had them. With lateness the
+lines that a run can need are parsed into a work folder first, and all else reads them there.
+
+`run_query_log_stream` takes files as a stream instead of days, into the same table.
 """
 
 from dataclasses import dataclass, field
@@ -28,8 +31,15 @@ from logweir.operators.parse import parse_query_log
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint_columns, since, unseen
 from logweir.schemas import CORRUPT, INGEST_CHECKPOINT, QUERY_LOG_OUT, QUERY_LOG_QUARANTINE
 from logweir.session import pin_utc, work_folder
+from logweir.sinks.streams import default_checkpoint, stream_tables
 from logweir.sinks.tables import published_number, replace_table, write_run
-from logweir.sources.files import candidate_files, existing_paths, read_json_logs
+from logweir.sources.files import (
+    candidate_files,
+    existing_paths,
+    read_json_logs,
+    stream_json_logs,
+)
+from logweir.sources.folders import remove
 from logweir.sources.tables import read_table, table_exists
 
 TIME = "@timestamp"
@@ -169,16 +179,15 @@ def _numbered(spark, rows, job, mark, run_id):
     return with_dense_guid(rows, stored=others.select("MetadataLogGuid"))
 
 
-def _late(spark, lines, job, now, mark, run_id):
+def _late(spark, lines, job, now, mark, run_id, folder):
     """Lines from the lateness window below the mark that earlier runs have not stored."""
-    window = (F.col(TIME) > F.lit(mark - job.allowed_lateness)) & (F.col(TIME) <= F.lit(mark))
+    floor = mark - job.allowed_lateness
+    window = (F.col(TIME) > F.lit(floor)) & (F.col(TIME) <= F.lit(mark))
     rows = _output(lines.where(window), job, now)
     # each line is split and hashed once; the look-up sees ids and not what they are made of
-    staged = work_folder(spark, "late-lines")
-    rows.write.parquet(staged)
-    rows = spark.read.schema(rows.schema).parquet(staged)
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
     stored = read_table(spark, job.table, job.fmt, _stored(QUERY_LOG_OUT, "log_day date"))
-    floor = mark - job.allowed_lateness
     known = stored.where(
         (F.col("ingest_run") != run_id)
         & (F.col("log_day") >= F.lit(floor.date()))
@@ -187,7 +196,15 @@ def _late(spark, lines, job, now, mark, run_id):
     return unseen(rows, known)
 
 
-def _quarantine(spark, paths, job, run_id, first_bad, last_bad):
+def _quarantine_rows(lines, job):
+    """Unusable lines as they came, with the reason."""
+    raw = F.coalesce(CORRUPT, canonical_body([TIME, "log"]))
+    bad = lines.select(raw.alias("raw"), _unusable(job).alias("reason"), PATH)
+    bad = bad.where(F.col("reason").isNotNull()).withColumnRenamed(PATH, "MetadataLogFileName")
+    return bad.withColumn("content_id", content_id(["MetadataLogFileName", "raw"], job.bits))
+
+
+def _quarantine(spark, lines, job, run_id, first_bad, last_bad):
     """Store the unusable lines of the days that had some, except those stored before.
 
     A checkpoint day is read again by the next run, and its unusable lines have no event time to
@@ -197,15 +214,7 @@ def _quarantine(spark, paths, job, run_id, first_bad, last_bad):
     in_range = day.isNull()
     if first_bad:
         in_range = in_range | day.between(F.lit(first_bad), F.lit(last_bad))
-    raw = F.coalesce(CORRUPT, canonical_body([TIME, "log"]))
-    bad = (
-        read_json_logs(spark, paths)
-        .where(in_range)
-        .select(raw.alias("raw"), _unusable(job).alias("reason"), PATH)
-        .where(F.col("reason").isNotNull())
-        .withColumnRenamed(PATH, "MetadataLogFileName")
-    )
-    rows = bad.withColumn("content_id", content_id(["MetadataLogFileName", "raw"], job.bits))
+    rows = _quarantine_rows(lines.where(in_range), job)
     if table_exists(spark, job.quarantine, job.fmt):
         stored = read_table(spark, job.quarantine, job.fmt, _stored(QUERY_LOG_QUARANTINE))
         known = stored.where(F.col("ingest_run") != run_id)
@@ -235,20 +244,38 @@ def run_query_log_etl(spark, job, last_day, now=None):
     number = published_number(spark, job.checkpoint, job.fmt)
     run_id = f"after-{mark:%Y%m%dT%H%M%S%f}-{number}" if mark else "first"
 
-    lines = read_json_logs(spark, paths)
     reason = _unusable(job)
     bad_day = F.when(reason.isNotNull(), job.day_of(F.col(PATH)))
     scanned, written = Observation(), Observation()
-    usable = lines.observe(
+    lines = read_json_logs(spark, paths)
+    observed = lines.observe(
         scanned,
         F.count(reason).alias("n_unusable"),
         F.min(bad_day).cast("string").alias("first_bad"),
         F.max(bad_day).cast("string").alias("last_bad"),
-    ).where(reason.isNull())
-    rows = _output(since(usable, TIME, mark), job, now)
+    )
+    folder = None
     if mark and job.allowed_lateness and table_exists(spark, job.table, job.fmt):
-        good_again = read_json_logs(spark, paths).where(reason.isNull())
-        rows = rows.unionByName(_late(spark, good_again, job, now, mark, run_id))
+        # lines that earlier runs have taken for good need not be kept
+        folder = work_folder(spark, "late")
+        needed = reason.isNotNull() | (F.col(TIME) > F.lit(mark - job.allowed_lateness))
+        observed.where(needed).write.parquet(f"{folder}/lines")
+        lines = spark.read.schema(lines.schema).parquet(f"{folder}/lines")
+        usable = lines.where(reason.isNull())
+        rows = _output(since(usable, TIME, mark), job, now)
+        late = _late(spark, usable, job, now, mark, run_id, f"{folder}/rows")
+        rows = rows.unionByName(late)
+    else:
+        rows = _output(since(observed.where(reason.isNull()), TIME, mark), job, now)
+    try:
+        return _stored_run(spark, job, rows, lines, scanned, written, run_id, day, mark, number)
+    finally:
+        if folder:
+            remove(spark, folder)
+
+
+def _stored_run(spark, job, rows, lines, scanned, written, run_id, day, mark, number):
+    """Write a run's rows and unusable lines and save the checkpoint after it."""
     if job.guid == "dense":
         rows = _numbered(spark, rows, job, mark, run_id)
     source_day = job.day_of(F.col("MetadataLogFileName"))
@@ -263,7 +290,7 @@ def run_query_log_etl(spark, job, last_day, now=None):
 
     seen, stored = scanned.get, written.get
     if seen["n_unusable"] and job.quarantine:
-        _quarantine(spark, paths, job, run_id, _day(seen["first_bad"]), _day(seen["last_bad"]))
+        _quarantine(spark, lines, job, run_id, _day(seen["first_bad"]), _day(seen["last_bad"]))
     if not stored["n_rows"]:
         return RunResult("EMPTY", n_unusable=seen["n_unusable"])
     top = max(filter(None, [_moment(stored["micros"]), mark]))
@@ -272,3 +299,31 @@ def run_query_log_etl(spark, job, last_day, now=None):
     number = number + 1 if top == mark else 0
     save_checkpoint(spark, job.checkpoint, result.file_date, top, job.fmt, number)
     return result
+
+
+def run_query_log_stream(spark, job, *, checkpoint=None, limits=None, now=None, **trigger):
+    """Start a stream over the log files into the job's table; returns the running query.
+
+    Every file of the job's layout is taken once, whatever its day and the times of its lines, as
+    the stream's own log of files says; no day grid and no mark is used. `limits` bounds a
+    micro-batch, such as {"maxFilesPerTrigger": 1000}. Files must be complete when they appear:
+    lines that are added to a file that was taken are not seen, which the batch job is for. A table
+    is fed by one of the two. Row ids are the stable ones."""
+    if job.guid != "stable" or job.fmt != "parquet":
+        raise ValueError("a stream of files gives stable row ids and parquet tables")
+    pin_utc(spark)
+    layout = job.layout
+    for part in ("{directory}", "{prefix}", "{day}"):
+        layout = layout.replace(part, "*")
+    # "**" would be a folder at any depth
+    lines = stream_json_logs(spark, f"{job.source}/{layout.replace('**', '*')}", **(limits or {}))
+
+    def tables(batch):
+        usable = batch.where(_unusable(job).isNull())
+        found = {job.table: _output(usable, job, now)}
+        if job.quarantine:
+            found[job.quarantine] = _quarantine_rows(batch, job)
+        return found
+
+    checkpoint = checkpoint or default_checkpoint(job.table)
+    return stream_tables(lines, tables, checkpoint, partition_by={job.table: ["log_day"]}, **trigger)

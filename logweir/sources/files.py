@@ -48,16 +48,26 @@ def existing_paths(spark, paths):
     return found
 
 
+def _json_lines(reader, schema):
+    return (
+        reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    )
+
+
+def _with_path(rows):
+    return rows.withColumn("input_file_path", F.col("_metadata.file_path"))
+
+
 def read_json_logs(spark, paths, schema=QUERY_LOG_IN):
     """JSON lines with a fixed schema, so there is no inference pass over the files.
 
     Lines that do not fit go to the corrupt-record column whole. `input_file_path` is the file
     each row came from.
     """
-    rows = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(paths)
-    )
-    return rows.withColumn("input_file_path", F.col("_metadata.file_path"))
+    return _with_path(_json_lines(spark.read, schema).json(paths))
+
+
+def stream_json_logs(spark, pattern, schema=QUERY_LOG_IN, **options):
+    """As `read_json_logs`, the files and folders that a path pattern finds as a stream: each file
+    once, in the order of its appearance. Options bound a micro-batch, such as maxFilesPerTrigger."""
+    return _with_path(_json_lines(spark.readStream, schema).options(**options).json(pattern))

@@ -293,6 +293,17 @@ SQL = {
     "usage_split_quarantine": """
       SELECT substr('{"start_date":"' || strftime(ts, '%d/%b/%Y') || '"', 1, 20) AS body
       FROM events WHERE event_id % 10 = 0""",
+    "metadata_capture_timed": """
+      SELECT 'onto_' || (user_id * 20) AS ontology, 'file_' || max(event_id) || '.owl' AS filename,
+        CAST(arg_max(value, event_id) AS VARCHAR) AS size_in_kb
+      FROM events GROUP BY user_id""",
+    "usage_stream_outcomes": """
+      WITH marked AS (
+        SELECT event_id % 10 = 0 AS broken,
+          CAST(event_id > (SELECT avg(event_id) FROM events) AS BIGINT) AS batch_id FROM events)
+      SELECT batch_id, 'OK' AS status, count(*) FILTER (NOT broken) AS n_good,
+        count(*) FILTER (broken) AS n_malformed FROM marked GROUP BY batch_id
+      UNION ALL SELECT NULL, 'EMPTY', 0, 0""",
     "usage_stream_clock": """
       SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS n_stamps, count(*) AS n_within FROM events""",
     "usage_stream_once": f"SELECT DISTINCT {USAGE} FROM events",
@@ -381,3 +392,5 @@ SQL = {
 # The same rows by another way.
 SQL["metadata_capture_bucketed"] = SQL["metadata_capture"]
 SQL["log_guid_dense_stream"] = SQL["log_guid_dense"]
+SQL["query_log_stream"] = SQL["incremental_two_runs"]
+SQL["query_log_stream_quarantine"] = SQL["query_log_quarantine"]

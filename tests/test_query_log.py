@@ -284,3 +284,74 @@ def test_checkpoint_in_the_future_reads_nothing(logs):
     logs.add("AVDP1", "01022024", line("2024-01-02T10:00:00Z"))
     save_checkpoint(logs.spark, logs.job.checkpoint, "20300101", datetime(2030, 1, 1, tzinfo=timezone.utc))
     assert logs.run().status == "EMPTY"
+
+
+# ---- files as a stream ----
+
+
+def start(logs, **limits):
+    from logweir.plans import run_query_log_stream
+
+    query = run_query_log_stream(logs.spark, logs.job, limits=limits, now=now())
+    query.awaitTermination()
+    return query
+
+
+def stored(logs, job=None):
+    rows = read_query_log(logs.spark, job or logs.job).collect()
+    return sorted(((r.ServerName, r.MetadataLogTimeGenerated, r.MetadataLogId, r.MetadataLogFileName) for r in rows), key=repr)
+
+
+def test_stream_of_files_equals_the_batch_job(logs, folder):
+    from dataclasses import replace
+
+    for day in range(2, 6):
+        for server in ("AVDP1", "AVDP2"):
+            logs.add(server, f"010{day}2024", line(f"2024-01-0{day}T10:00:00Z", f"{server}-{day}"), "{broken", line(None, "x"))
+    start(logs, maxFilesPerTrigger=3)
+    batch = replace(logs.job, table=f"{folder}/b", checkpoint=f"{folder}/bm", quarantine=f"{folder}/bq")
+    from logweir.plans import run_query_log_etl
+
+    run_query_log_etl(logs.spark, batch, date(2024, 1, 5), now())
+    assert stored(logs) == stored(logs, batch) and len(stored(logs)) == 8
+    bad = [sorted((r.raw, r.reason, r.MetadataLogFileName) for r in logs.spark.read.parquet(q).collect()) for q in (logs.job.quarantine, batch.quarantine)]
+    assert bad[0] == bad[1] and len(bad[0]) == 16
+
+
+def test_a_file_added_to_an_old_day_is_taken(logs):
+    logs.add("AVDP1", "01052024", line("2024-01-05T10:00:00Z", "new"))
+    assert start(logs).lastProgress.numInputRows == 1
+    logs.add("AVDP2", "01022024", line("2024-01-02T09:00:00Z", "old"))
+    assert start(logs).lastProgress.numInputRows == 1
+    start(logs)
+    assert [r[0] for r in stored(logs)] == ["new", "old"]
+    assert {r.log_day.isoformat() for r in logs.spark.read.parquet(logs.job.table).select("log_day").collect()} == {"2024-01-05", "2024-01-02"}
+
+
+def test_stream_of_files_gives_stable_ids_only(logs):
+    from dataclasses import replace
+
+    from logweir.plans import run_query_log_stream
+
+    with pytest.raises(ValueError, match="stable row ids"):
+        run_query_log_stream(logs.spark, replace(logs.job, guid="dense"))
+
+
+def test_late_runs_parse_files_once_and_leave_no_work_folder(spark, folder, monkeypatch):
+    import logweir.plans.query_log as plan
+
+    logs = Logs(spark, folder, allowed_lateness=timedelta(days=2))
+    logs.add("AVDP1", "01022024", line("2024-01-02T10:00:00Z", "a"), "{broken")
+    logs.run()
+    logs.add("AVDP2", "01022024", line("2024-01-02T09:00:00Z", "late"), "{also")
+    reads, folders, read, make = [], [], plan.read_json_logs, plan.work_folder
+    monkeypatch.setattr(plan, "read_json_logs", lambda *a: reads.append(a) or read(*a))
+    monkeypatch.setattr(plan, "work_folder", lambda *a: folders.append(make(*a)) or folders[-1])
+    result = logs.run()
+    assert (result.status, result.n_rows, result.n_unusable) == ("OK", 1, 2)
+    assert len(reads) == 1 and len(folders) == 1
+    import os
+
+    assert not os.path.exists(folders[0])
+    assert sorted(r.raw for r in spark.read.parquet(logs.job.quarantine).collect()) == ["{also", "{broken"]
+    assert [r[0] for r in stored(logs)] == ["a", "late"]

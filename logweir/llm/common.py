@@ -9,6 +9,8 @@ from logweir.session import work_folder
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that Spark hands to a Python worker at a time: texts are long, and both sides hold a batch.
+ARROW_ROWS = 500
 
 
 def written(df, name):
@@ -33,8 +35,16 @@ def workers_can_import(spark):
         spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [*paths, root]))
 
 
+def bounded_batches(spark):
+    """Batches for Python workers of at most ARROW_ROWS rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ARROW_ROWS:
+        spark.conf.set(setting, ARROW_ROWS)
+
+
 def table(spark, sf_dir, name):
     workers_can_import(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

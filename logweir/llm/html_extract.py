@@ -8,7 +8,6 @@ labelling of the page.
 """
 
 import re
-from collections import deque
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 # Element names of HTML by their role, and words of class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "script style noscript template title head svg math iframe object canvas select option "
+    "script style noscript template title head svg iframe object canvas select option "
     "textarea button datalist audio video map".split()
 )
 BLOCK = frozenset(
@@ -46,6 +45,13 @@ FIRM_WORDS = frozenset(
 #: With these, a class says how the page is laid out, not what the element is.
 LAYOUT_WORDS = frozenset("has no with without".split())
 WRAPPER_WORDS = frozenset("container inner layout outer wrap wrapper".split())
+#: Beside these a boilerplate word still says what the element is; beside any other word of a name,
+#: such as in social-history, it may be what the text is about.
+STRUCTURE_WORDS = frozenset(
+    "area articles block body box btn button cell col column container content form group head "
+    "heading icon icons inner item items layout left link links list main module news outer page "
+    "panel post posts right row section site stories text title top unit wrap wrapper zone".split()
+)
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
@@ -59,6 +65,8 @@ class Weights:
     """Costs of the classifier, in the unit of one smoothness edge."""
 
     boilerplate_region = 12.0
+    #: Only hinted at by a name: less than a content region and its long text weigh together.
+    hinted_region = 4.0
     content_region = 6.0
     unmarked_region = 1.0
     link = 3.0
@@ -71,47 +79,70 @@ class Weights:
 
 
 def _names(value):
-    """Words of a class list or id, without those of names that describe the layout."""
-    words = set()
+    """(words, hints) of a class list or id, without those of names that describe the layout. Hints
+    are the boilerplate words of names that have a word of another kind as well."""
+    words, hints = set(), set()
     for name in value.split():
         parts = set(_WORDS.findall(_CAMEL.sub(" ", name).lower()))
+        flagged = parts & BOILERPLATE_WORDS
         if parts & LAYOUT_WORDS or parts & WRAPPER_WORDS and parts & CONTENT_WORDS:
             parts -= BOILERPLATE_WORDS
+        elif flagged and parts - BOILERPLATE_WORDS - STRUCTURE_WORDS:
+            parts -= BOILERPLATE_WORDS
+            hints |= flagged
         words |= parts
-    return words
+    return words, hints
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "boilerplate", "content", "firm", "own", "own_firm", "resets")
+    __slots__ = (
+        "tag", "parent", "block", "boilerplate", "content", "firm", "hinted", "own", "own_firm", "own_hint",
+        "resets", "flagged", "form",
+    )
 
     def __init__(self, tag, parent, attrs):
         self.tag, self.parent = tag, parent
-        names, role = set(), ""
+        #: The nearest block element, itself included.
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        names, hints, role = set(), set(), ""
         for key, value in attrs:
             if value and key in ("class", "id"):
-                names |= _names(value)
+                more, hinted = _names(value)
+                names |= more
+                hints |= hinted
             elif value and key == "role":
                 role = value.strip().lower()
         in_content = bool(parent and parent.content)
         page_header = tag == "header" and not in_content
         marked = tag in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or page_header
-        named = bool(names & BOILERPLATE_WORDS) and tag not in ("html", "body", "article", "main")
-        if tag == "header" and in_content or tag in HEADINGS:
-            named = False
+        free = tag in ("html", "body", "article", "main") or tag in HEADINGS or tag == "header" and in_content
+        named = bool(names & BOILERPLATE_WORDS) and not free
         self.content = in_content or tag in CONTENT_TAGS or role == "main" or bool(names & CONTENT_WORDS) and not named
         main = tag == "main" or role == "main"
         self.resets = "all" if main else "loose" if tag == "article" else ""
         self.own = marked or named and not main
+        self.own_hint = bool(hints) and not free and not main
         # a form may hold a whole page, so an article in it counts
         self.own_firm = marked and tag != "form" or named and bool(names & FIRM_WORDS)
         self.inherit()
 
     def inherit(self):
-        """Boilerplate holds for all below, but for a main part, and for articles unless firm."""
+        """Boilerplate holds for all below, but for a main part, and for articles unless firm. A hint
+        ends at either."""
         above = self.parent
         self.firm = bool(above and above.firm) and self.resets != "all" or self.own and self.own_firm
         kept = above and above.boilerplate and (not self.resets or self.resets == "loose" and above.firm)
         self.boilerplate = bool(kept) or self.own
+        self.hinted = self.own_hint or bool(above and above.hinted and not self.resets)
+
+    def find_form(self):
+        """The form around the element, up to the first part that is main or boilerplate for another
+        reason, and whether there is such boilerplate. What is above must know its own."""
+        above = self.parent
+        is_form = self.own and self.tag == "form"
+        self.flagged, self.form = self.own and not is_form, self if is_form else None
+        if above and not self.flagged and not self.resets:
+            self.flagged, self.form = above.flagged, self.form or above.form
 
 
 class Block:
@@ -128,6 +159,8 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack = [_Element("", None, ())]
         self.elements = list(self.stack)
+        #: Depths at which each tag is open, so that no search walks up the stack.
+        self.open = {}
         self.blocks, self.current, self.hidden, self.links = [], None, 0, 0
 
     def updatepos(self, i, j):
@@ -145,6 +178,8 @@ class _Reader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag not in IN_HEAD:
             self._end_head()
+        if tag == "form" and self._depth("form") > 0:
+            return  # forms don't nest; the first end tag ends the outer one
         if tag in VOID:
             if tag in BLOCK:
                 self._end_block()
@@ -162,6 +197,7 @@ class _Reader(HTMLParser):
             self._close("dd", within=("dl",))
         if tag in BLOCK:
             self._end_block()
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(_Element(tag, self.stack[-1], attrs))
         self.elements.append(self.stack[-1])
         self.hidden += tag in HIDDEN
@@ -170,17 +206,21 @@ class _Reader(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
+    def _depth(self, tag):
+        """Where the innermost open element of this kind is, -1 if there is none."""
+        depths = self.open.get(tag)
+        return depths[-1] if depths else -1
+
     def _close(self, tag, within=()):
-        for depth in range(len(self.stack) - 1, 0, -1):
-            here = self.stack[depth].tag
-            if here == tag:
-                self._pop_to(depth)
-                return
-            if here in within or (not within and tag == "p" and here in ("td", "th", "div", "article", "body", "section", "li", "blockquote")):
-                return
+        depth = self._depth(tag)
+        if not within and tag == "p":
+            within = ("td", "th", "div", "article", "body", "section", "li", "blockquote")
+        if depth > 0 and all(self._depth(outer) < depth for outer in within):
+            self._pop_to(depth)
 
     def _pop_to(self, depth):
         for element in self.stack[depth:]:
+            self.open[element.tag].pop()
             self.hidden -= element.tag in HIDDEN
             self.links -= element.tag == "a"
             if element.tag in BLOCK:
@@ -190,10 +230,9 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "p" or tag in BLOCK:
             self._end_block()
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth].tag == tag:
-                self._pop_to(depth)
-                return
+        depth = self._depth(tag)
+        if depth > 0:
+            self._pop_to(depth)
 
     def handle_data(self, data):
         if self.stack[-1].tag == "head" and not data.isspace():
@@ -203,10 +242,7 @@ class _Reader(HTMLParser):
         if self.current is None:
             if data.isspace():
                 return
-            holder = self.stack[-1]
-            while holder.parent is not None and holder.tag not in BLOCK:
-                holder = holder.parent
-            self.current = Block(holder)
+            self.current = Block(self.stack[-1].block)
             self.blocks.append(self.current)
         self.current.parts.append(data)
         if self.links:
@@ -231,24 +267,16 @@ def read_blocks(html):
 def _free_page_forms(found, elements):
     """A form with most of the words of the page's long text is the page's frame, not a form."""
     while True:
+        for element in elements:
+            element.find_form()
         words, in_form = 0, {}
         for text, linked, element in found:
             n = text.count(" ") + 1
-            if n < 10 or linked > 0.5:
+            if n < 10 or linked > 0.5 or element.flagged:
                 continue
-            flagged, forms = False, []
-            while element is not None:
-                if element.own and element.tag == "form":
-                    forms.append(element)
-                elif element.own:
-                    flagged = True
-                if flagged or element.resets:
-                    break
-                element = element.parent
-            if not flagged:
-                words += n
-                for form in forms:
-                    in_form[form] = in_form.get(form, 0) + n
+            words += n
+            if element.form:
+                in_form[element.form] = in_form.get(element.form, 0) + n
         frames = [form for form, n in in_form.items() if 2 * n > words]
         if not frames:
             return
@@ -263,10 +291,10 @@ def costs(text, linked, element):
     content = boilerplate = 0.0
     if element.boilerplate:
         boilerplate += Weights.boilerplate_region
-    elif element.content:
-        content += Weights.content_region
     else:
-        content += Weights.unmarked_region
+        content += Weights.content_region if element.content else Weights.unmarked_region
+        if element.hinted:
+            boilerplate += Weights.hinted_region
     boilerplate += Weights.link * linked
     words = text.count(" ") + 1
     if element.tag in HEADINGS:
@@ -299,45 +327,86 @@ def smoothness(blocks):
     return edges
 
 
+TINY = 1e-9
+
+
+class _Network:
+    """What still fits through each edge and out of or into each node."""
+
+    def __init__(self, excess, edges):
+        self.excess = excess
+        self.near = [[] for _ in excess]  # edges out of each node; edge e's reverse is e ^ 1
+        self.head, self.room = [], []
+        for i, j, capacity in edges:
+            self.near[i].append(len(self.head))
+            self.near[j].append(len(self.head) + 1)
+            self.head += [j, i]
+            self.room += [capacity, capacity]
+
+    def levels(self):
+        """Distance of each node from the nearest source with something left, -1 if out of reach, and
+        whether a sink with room is in reach. Nodes behind the nearest sinks need no distance."""
+        excess, head, room = self.excess, self.head, self.room
+        level = [0 if x > TINY else -1 for x in excess]
+        layer, reached = [i for i, at in enumerate(level) if at == 0], False
+        while layer and not reached:
+            following = []
+            for at in layer:
+                for e in self.near[at]:
+                    to = head[e]
+                    if level[to] < 0 and room[e] > TINY:
+                        level[to] = level[at] + 1
+                        following.append(to)
+                        reached = reached or excess[to] < -TINY
+            layer = following
+        return level, reached
+
+    def fill(self, level):
+        """A flow along shortest paths to which no further such path can be added."""
+        excess, head, room, near = self.excess, self.head, self.room, self.near
+        arc = [0] * len(near)
+        for source in [i for i, at in enumerate(level) if at == 0]:
+            path, at = [], source
+            while excess[source] > TINY:
+                if path and excess[at] < -TINY:
+                    flow = min(excess[source], -excess[at], *[room[e] for e in path])
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    excess[source] -= flow
+                    excess[at] += flow
+                    path, at = [], source
+                    continue
+                edges = near[at]
+                while arc[at] < len(edges):
+                    e = edges[arc[at]]
+                    if room[e] > TINY and level[head[e]] == level[at] + 1:
+                        break
+                    arc[at] += 1
+                if arc[at] < len(edges):
+                    path.append(e)
+                    at = head[e]
+                elif path:
+                    e = path.pop()
+                    at = head[e ^ 1]
+                    arc[at] += 1
+                else:
+                    break
+
+
 def minimum_cut(content, boilerplate, edges):
-    """Which nodes are on the source's side: content, by a maximum flow along shortest paths."""
-    n = len(content)
+    """Which nodes are on the source's side: content, by a maximum flow.
+
+    Rounds of blocking flows along shortest paths. Edges join blocks that are near each other and
+    carry little against what blocks take in themselves, so paths are short and rounds few, and each
+    is one pass over the page."""
     # what flows straight from source over a node to sink needs no search
-    excess = [c - b for c, b in zip(content, boilerplate)]
-    near = [[] for _ in range(n)]
-    room = {}
-    for i, j, capacity in edges:
-        for a, b in ((i, j), (j, i)):
-            if (a, b) not in room:
-                near[a].append(b)
-                room[a, b] = 0.0
-            room[a, b] += capacity
-    tiny = 1e-9
+    network = _Network([c - b for c, b in zip(content, boilerplate)], edges)
     while True:
-        sources = [i for i in range(n) if excess[i] > tiny]
-        before = dict.fromkeys(sources)
-        queue, end = deque(sources), None
-        while queue and end is None:
-            at = queue.popleft()
-            for to in near[at]:
-                if to not in before and room[at, to] > tiny:
-                    before[to] = at
-                    if excess[to] < -tiny:
-                        end = to
-                        break
-                    queue.append(to)
-        if end is None:
-            return [i in before for i in range(n)]
-        path, at = [], end
-        while before[at] is not None:
-            path.append((before[at], at))
-            at = before[at]
-        flow = min(excess[at], -excess[end], min(room[e] for e in path))
-        for a, b in path:
-            room[a, b] -= flow
-            room[b, a] += flow
-        excess[at] -= flow
-        excess[end] += flow
+        level, reached = network.levels()
+        if not reached:
+            return [at >= 0 for at in level]
+        network.fill(level)
 
 
 def main_text(html):

@@ -13,6 +13,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -77,6 +78,9 @@ BAND = 8
 MIN_COVERAGE = 0.8
 #: Words of a template that are counted together when bounding what can match.
 PART = 64
+#: Diagonals that are bounded together first, and up to how many each is bounded by itself.
+STRETCH = 64
+FEW = 8
 MATCH_SCHEMA = "doc_id long, license string, start long, end long, coverage double, matched int"
 
 _WORDS = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -113,8 +117,13 @@ class TemplateIndex:
                 raise ValueError(f"a template needs {K} words: {name}")
             for at in winnow(words):
                 self.grams[tuple(words[at : at + K])].append((name, at))
+        self.vocabulary = {word for words in self.words.values() for word in words}
         self.firsts = {gram[0] for gram in self.grams}
-        self.quick = re.compile("|".join(sorted(map(re.escape, self.firsts))), re.IGNORECASE)
+
+    def may_hold(self, text):
+        """Whether the text has any indexed k-gram."""
+        words = [word.lower() for word in _WORDS.findall(text)]
+        return not self.grams.keys().isdisjoint(zip(*[words[k:] for k in range(K)]))
 
 
 def align(template, document, band):
@@ -164,6 +173,43 @@ def can_match(parts, words, offset, need, band):
     return True
 
 
+def within_bound(parts, places, offsets, need, band, more=0):
+    """Which of many diagonals pass the bound of `can_match`, each taken together with the `more`
+    diagonals after it. `places` has the sorted places of every word of the document.
+
+    A part at a time, for the diagonals that can still match."""
+    alive = np.arange(len(offsets))
+    spare = np.full(len(offsets), sum(length for _, length, _ in parts) - need)
+    for start, length, counts in parts:
+        low = offsets[alive] + start - band
+        high = low + length + 2 * band + more
+        common = np.zeros(len(alive), np.int64)
+        for word, n in counts.items():
+            at = places.get(word)
+            if at is not None:
+                common += np.minimum(np.searchsorted(at, high) - np.searchsorted(at, low), n)
+        spare[alive] -= length - common
+        alive = alive[spare[alive] >= 0]
+        if not len(alive):
+            break
+    return alive
+
+
+def candidates(index, name, words, places, offsets, need, band):
+    """The diagonals of a template's hits that the bounds leave."""
+    size = len(index.words[name])
+    offsets = [o for o in offsets if min(len(words), o + size + band) - max(0, o - band) >= need]
+    if len(offsets) <= FEW:
+        return offsets
+    parts, found = index.parts[name], np.array(sorted(offsets))
+    # whole stretches of diagonals first
+    stretch = found // STRETCH
+    first = np.unique(stretch)
+    left = first[within_bound(parts, places, first * STRETCH, need, band, STRETCH - 1)]
+    found = found[np.isin(stretch, left)]
+    return found[within_bound(parts, places, found, need, band)].tolist()
+
+
 def align_at(template, words, offset, band, hidden=()):
     """(place in the template, in the document) of the words matched around a diagonal; the words
     at `hidden` places don't match."""
@@ -177,7 +223,7 @@ def find_licenses(text, index, band=BAND, least=MIN_COVERAGE):
 
     Every diagonal that has a hit and may reach `least` is aligned. Of matches over the same words
     the one with most words matched counts, then the one that covers more of its template."""
-    if not index.quick.search(text):
+    if not index.may_hold(text):
         return []
     found = words_of(text)
     words = [w for w, _, _ in found]
@@ -186,10 +232,15 @@ def find_licenses(text, index, band=BAND, least=MIN_COVERAGE):
         if word in index.firsts:
             for name, place in index.grams.get(tuple(words[at : at + K]), ()):
                 diagonals[name][at - place].append(at)
+    places = defaultdict(list)
+    for at, word in enumerate(words):
+        places[word].append(at)
+    places = {word: np.array(at) for word, at in places.items() if word in index.vocabulary}
     matches = []
     for name, offsets in diagonals.items():
         template, covered = index.words[name], {}
         need = max(1, math.ceil(least * len(template) - 1e-9))
+        offsets = {o: offsets[o] for o in candidates(index, name, words, places, offsets, need, band)}
         # the diagonals with most hits first: what they give spares others
         for offset, hits in sorted(offsets.items(), key=lambda o: (-len(o[1]), o[0])):
             final, n = covered.get(hits[0], (-1, 0))

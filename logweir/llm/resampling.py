@@ -4,9 +4,10 @@ Words and pairs of adjacent words fall into buckets by CRC-32. The distinct word
 of text at a time are the entries of an Aho-Corasick automaton, each between two delimiters, so that
 a scan meets every word exactly once. An entry's payload is the word's CRC, the CRC of the word and
 a blank, and the word's length; the CRC of a pair follows from the payloads of its two words alone,
-by moving the first one's CRC over as many zero bytes as the second is long. The first scan counts
-buckets of the corpus and of the target, the second scores each document; Gumbel noise drawn from
-the id turns the highest scores into a sample without replacement.
+by moving the first one's CRC over as many zero bytes as the second is long. Each text is scanned
+once and its buckets are written, some three fifths of its size before compression; the corpus is
+counted and each document scored from them. Gumbel noise drawn from the id turns the highest scores
+into a sample without replacement.
 """
 
 import zlib
@@ -144,19 +145,49 @@ def scan(group, buckets=BUCKETS):
     return text[single], crc[hits[single]] % buckets, text[second], pairs % buckets
 
 
-def bucket_counts(texts, buckets=BUCKETS):
-    """bucket, n of all words and pairs of a table with the one column text, null being empty."""
+def _number_type(buckets):
+    return np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
+
+
+def scanned(text, buckets=BUCKETS):
+    """Struct column n_words, found: the buckets of the text's words and pairs as one row of numbers,
+    null text being empty."""
+    kind = _number_type(buckets)
+
+    @F.pandas_udf("n_words long, found binary")
+    def udf(texts: pd.Series) -> pd.DataFrame:
+        n_words, parts = np.zeros(len(texts), np.int64), [[] for _ in range(len(texts))]
+        for group in _groups(texts.tolist()):
+            of_words, words, of_pairs, pairs = scan(group, buckets)
+            first, last = group[0][0], group[-1][0]
+            numbers = np.arange(first, last + 2)
+            for of, found in ((of_words, words), (of_pairs, pairs)):
+                # texts come in order, so each has a stretch of its own
+                ends = np.searchsorted(of, numbers)
+                data = found.astype(kind)
+                for number in range(first, last + 1):
+                    begin, end = ends[number - first], ends[number - first + 1]
+                    if end > begin:
+                        parts[number].append(data[begin:end].tobytes())
+            n_words[first : last + 1] += np.bincount(of_words - first, minlength=last + 1 - first)
+        return pd.DataFrame({"n_words": n_words, "found": [b"".join(some) for some in parts]})
+
+    return udf(F.coalesce(text, F.lit("")))
+
+
+def bucket_counts(found, buckets=BUCKETS):
+    """bucket, n over all rows of a table with the one column `found`."""
+    kind = _number_type(buckets)
 
     def count(batches):
         counts = np.zeros(buckets, np.int64)
         for batch in batches:
-            for group in _groups(batch.column(0).to_pylist()):
-                _, words, _, pairs = scan(group, buckets)
-                counts += np.bincount(words, minlength=buckets) + np.bincount(pairs, minlength=buckets)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["bucket", "n"])
+            numbers = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
+            counts += np.bincount(numbers, minlength=buckets)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
 
-    return texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return found.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def bucket_gains(corpus, target, buckets=BUCKETS):
@@ -175,23 +206,18 @@ def bucket_gains(corpus, target, buckets=BUCKETS):
     return np.array(gains, np.int64)
 
 
-def weigh(text, gains):
-    """Struct column n_words, n_features, weight: the floored mean gain of the text's features."""
-    buckets = len(gains)
+def weigh(found, gains):
+    """Struct column n_features, weight: the floored mean gain of the text's features."""
+    kind = _number_type(len(gains))
 
-    @F.pandas_udf("n_words long, n_features long, weight long")
-    def udf(texts: pd.Series) -> pd.DataFrame:
-        n_words, n_features, total = np.zeros((3, len(texts)), np.int64)
-        for group in _groups(texts.tolist()):
-            of_words, words, of_pairs, pairs = scan(group, buckets)
-            np.add.at(n_words, of_words, 1)
-            for of, found in ((of_words, words), (of_pairs, pairs)):
-                np.add.at(n_features, of, 1)
-                np.add.at(total, of, gains[found])
-        weight = np.floor_divide(total, np.maximum(n_features, 1))
-        return pd.DataFrame({"n_words": n_words, "n_features": n_features, "weight": weight})
+    @F.pandas_udf("n_features long, weight long")
+    def udf(rows: pd.Series) -> pd.DataFrame:
+        numbers = [np.frombuffer(row, kind) for row in rows]
+        n = np.array([len(some) for some in numbers], np.int64)
+        total = np.array([gains[some].sum() for some in numbers], np.int64)
+        return pd.DataFrame({"n_features": n, "weight": np.floor_divide(total, np.maximum(n, 1))})
 
-    return udf(F.coalesce(text, F.lit("")))
+    return udf(found)
 
 
 def _noise(doc_id, seed):
@@ -211,12 +237,18 @@ def importance_resample(
     empty one and comes last among ties; repeated rows are drawn each by itself. An empty target
     leaves every bucket its smoothed share; an empty table gives no rows.
     """
-    corpus = {r.bucket: r.n for r in bucket_counts(docs.select(text_col), buckets).collect()}
-    wanted = {r.bucket: r.n for r in bucket_counts(target.select(target_col), buckets).collect()}
+    features = written(
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), scanned(F.col(text_col), buckets).alias("s")).select(
+            "doc_id", "s.*"
+        ),
+        "resample-features",
+    )
+    aims = target.select(scanned(F.col(target_col), buckets).alias("s")).select("s.found")
+    corpus = {r.bucket: r.n for r in bucket_counts(features.select("found"), buckets).collect()}
+    wanted = {r.bucket: r.n for r in bucket_counts(aims, buckets).collect()}
     gains = bucket_gains(corpus, wanted, buckets)
-    scored = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), weigh(F.col(text_col), gains).alias("w")
-    ).select("doc_id", "w.*")
+    scored = features.select("doc_id", "n_words", weigh(F.col("found"), gains).alias("w"))
+    scored = scored.select("doc_id", "n_words", "w.*")
     scored = scored.withColumn("score", F.col("weight") + _noise(F.col("doc_id"), seed))
     return draw(written(scored, "resample-scores"), share, least_words)
 

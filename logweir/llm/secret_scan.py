@@ -10,8 +10,7 @@ rule, from its end backwards.
 
 import hashlib
 import re
-from re import _constants as K
-from re import _parser
+from array import array
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -36,75 +35,151 @@ LEAST = {"assign": 6, "access": 20, "hex": 24, "hosting": 40, "chat": 15, "signe
 RULES = BASE_RULES | MORE_RULES
 
 
+class _Rule:
+    """Reads a rule: characters, sets, groups with or without (?i:, alternatives and greedy repeats,
+    all of ASCII. Gives ("bytes", set), ("row", parts), ("choice", options) and ("repeat", least,
+    most, part)."""
+
+    _TIMES = re.compile(r"\{(\d+)(,?)(\d*)\}")
+
+    def __init__(self, pattern):
+        self.text, self.at = pattern, 0
+
+    def read(self):
+        node = self._choice(False)
+        if self.at < len(self.text):
+            raise ValueError(f"a rule has {self.text[self.at]} too many")
+        return node
+
+    def _peek(self):
+        return self.text[self.at : self.at + 1]
+
+    def _take(self):
+        self.at += 1
+        if self.at > len(self.text):
+            raise ValueError("a rule ends too early")
+        return self.text[self.at - 1]
+
+    def _choice(self, fold):
+        options = [self._row(fold)]
+        while self._peek() == "|":
+            self.at += 1
+            options.append(self._row(fold))
+        return options[0] if len(options) == 1 else ("choice", options)
+
+    def _row(self, fold):
+        parts = []
+        while self._peek() not in ("", "|", ")"):
+            parts.append(self._repeated(self._part(fold)))
+        return "row", parts
+
+    def _repeated(self, part):
+        sign = self._peek()
+        if not sign or sign not in "?*+{":
+            return part
+        times = self._TIMES.match(self.text, self.at)
+        if sign == "{" and not times:
+            raise ValueError("a rule may not use a brace but for repeats")
+        if times:
+            least = int(times[1])
+            most = int(times[3]) if times[3] else None if times[2] else least
+            self.at = times.end()
+        else:
+            least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}[sign]
+            self.at += 1
+        if self._peek() and self._peek() in "?*+{":
+            raise ValueError("a rule may only use greedy repeats")
+        return "repeat", least, most, part
+
+    def _part(self, fold):
+        sign = self._take()
+        if sign == "(":
+            if self.text.startswith("?i:", self.at):
+                self.at, fold = self.at + 3, True
+            elif self.text.startswith("?:", self.at):
+                self.at += 2
+            elif self._peek() == "?":
+                raise ValueError("a rule may only use plain and (?i: groups")
+            inner = self._choice(fold)
+            if self._take() != ")":
+                raise ValueError("a group of a rule is not closed")
+            return inner
+        if sign == "[":
+            return "bytes", self._folded(self._set(), fold)
+        if sign in ".^$*+?{)":
+            raise ValueError(f"a rule may not use {sign}")
+        return "bytes", self._folded({self._byte(sign)}, fold)
+
+    def _byte(self, sign):
+        if sign == "\\":
+            sign = self._take()
+            if sign == "x":
+                sign = chr(int(self._take() + self._take(), 16))
+            elif sign.isalnum():
+                raise ValueError(f"a rule may not use \\{sign}")
+        if ord(sign) > 127:
+            raise ValueError("a rule may only name ASCII characters")
+        return ord(sign)
+
+    def _set(self):
+        if self._peek() == "^":
+            raise ValueError("a rule may not use a set of what it leaves out")
+        found = set()
+        while not found or self._peek() != "]":
+            low = high = self._byte(self._take())
+            if self._peek() == "-" and self.text[self.at + 1 : self.at + 2] not in ("", "]"):
+                self.at += 1
+                high = self._byte(self._take())
+            found.update(range(low, high + 1))
+        self.at += 1
+        return found
+
+    @staticmethod
+    def _folded(found, fold):
+        if fold:
+            found |= {ord(chr(b).swapcase()) for b in found if chr(b).isalpha()}
+        return frozenset(found)
+
+
 class Nfa:
-    """States with moves on byte sets and free moves, made from a regex over ASCII."""
+    """States with moves on byte sets and free moves, made from a rule."""
 
     def __init__(self, pattern):
         self.free, self.moves = [], []
         self.start = self._state()
-        self.end = self._build(_parser.parse(pattern), self.start, False)
-        self._closed = {}
+        self.end = self._build(_Rule(pattern).read(), self.start)
 
     def _state(self):
         self.free.append([])
         self.moves.append([])
         return len(self.free) - 1
 
-    def _build(self, items, at, fold):
-        for item in items:
-            at = self._item(item, at, fold)
-        return at
-
-    def _item(self, item, at, fold):
-        kind, value = item
-        if kind in (K.LITERAL, K.IN, K.ANY):
-            return self._byte_move(at, self._bytes(item, fold))
-        if kind is K.SUBPATTERN:
-            _, add, _, inner = value
-            return self._build(inner, at, fold or bool(add & re.IGNORECASE))
-        if kind is K.BRANCH:
-            end = self._state()
-            for option in value[1]:
-                self.free[self._build(option, at, fold)].append(end)
-            return end
-        if kind is K.MAX_REPEAT:
-            least, most, inner = value
+    def _build(self, node, at):
+        """Adds what a node matches from state `at` on; returns the state behind it."""
+        kind = node[0]
+        if kind == "row":
+            for part in node[1]:
+                at = self._build(part, at)
+            return at
+        end = self._state()
+        if kind == "bytes":
+            self.moves[at].append((node[1], end))
+        elif kind == "choice":
+            for option in node[1]:
+                self.free[self._build(option, at)].append(end)
+        else:
+            _, least, most, part = node
             for _ in range(least):
-                at = self._build(inner, at, fold)
-            if most is K.MAXREPEAT:
-                loop = self._state()
-                self.free[at].append(loop)
-                self.free[self._build(inner, loop, fold)].append(loop)
-                return loop
-            end = self._state()
-            for _ in range(most - least):
+                at = self._build(part, at)
+            if most is None:
                 self.free[at].append(end)
-                at = self._build(inner, at, fold)
-            self.free[at].append(end)
-            return end
-        raise ValueError(f"a rule may not use {kind}")
-
-    def _byte_move(self, at, accepted):
-        to = self._state()
-        self.moves[at].append((accepted, to))
-        return to
-
-    @staticmethod
-    def _bytes(item, fold):
-        kind, value = item
-        found = set()
-        for part in value if kind is K.IN else [item]:
-            if part[0] is K.LITERAL:
-                found.add(part[1])
-            elif part[0] is K.RANGE:
-                found.update(range(part[1][0], part[1][1] + 1))
+                self.free[self._build(part, end)].append(end)
             else:
-                raise ValueError(f"a rule may not use {part[0]}")
-        if max(found) > 127:
-            raise ValueError("a rule may only name ASCII characters")
-        if fold:
-            found |= {ord(chr(b).swapcase()) for b in found if chr(b).isalpha()}
-        return frozenset(found)
+                for _ in range(most - least):
+                    self.free[at].append(end)
+                    at = self._build(part, at)
+                self.free[at].append(end)
+        return end
 
     def close(self, states):
         todo, seen = list(states), set(states)
@@ -240,6 +315,14 @@ class Automaton:
         self.rules_in = {256 * place[b]: labels[first[b]] for b in order if labels[first[b]]}
         self.inside = min(self.rules_in, default=256 * len(order))
 
+    def __getstate__(self):
+        """Made once, on the driver; what tasks get is arrays."""
+        return self.__dict__ | {"table": array("l", self.table)}
+
+    def __setstate__(self, state):
+        # a list gives the numbers that it holds, an array makes one at each look
+        self.__dict__.update(state | {"table": state["table"].tolist()})
+
     def ends(self, data):
         """(rule, end) of every match, in one pass over the bytes."""
         table, inside, state = self.table, self.inside, self.start
@@ -278,8 +361,11 @@ _ASSIGNED = re.compile(BASE_RULES["assign"], re.ASCII)
 
 def find_secrets(text, rules=RULES):
     """(kind, start, end) in code points, by start and then in the order of the rules."""
+    return _found(combined_automaton(rules), text)
+
+
+def _found(automaton, text):
     data = text.encode("utf-8", "replace")
-    automaton = combined_automaton(rules)
     found, at, chars = [], 0, 0
     for start, end, rule in automaton.spans(data):
         kind, matched = automaton.names[rule], data[start:end].decode()
@@ -292,8 +378,8 @@ def find_secrets(text, rules=RULES):
     return found
 
 
-def _report(text):
-    found = find_secrets(text)
+def _report(automaton, text):
+    found = _found(automaton, text)
     counts = [sum(kind == base for kind, _, _ in found) for base in BASE_RULES]
     spans = [f"{kind}:{start}:{end}" for kind, start, end in found]
     base = ",".join(s for s, (kind, _, _) in zip(spans, found) if kind in BASE_RULES)
@@ -306,16 +392,18 @@ REPORT = T.StructType(
 )
 
 
-@F.pandas_udf(REPORT)
-def _reports(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_report(t) for t in text], columns=REPORT.names)
-
-
 def scan_secrets(docs, id_col="doc_id", text_col="text"):
     """One row per input row: doc_id, counts of the base kinds, base_sha256, spans.
 
     Null text is empty and has no spans; repeated rows are scanned each. Matches of a kind are
-    leftmost and do not overlap; spans of different kinds may. Whole texts are read."""
+    leftmost and do not overlap; spans of different kinds may. Whole texts are read. The automaton
+    is built once, on the driver, and its arrays go with the tasks; its size follows the rules."""
+    automaton = combined_automaton(RULES)
+
+    @F.pandas_udf(REPORT)
+    def _reports(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_report(automaton, t) for t in text], columns=REPORT.names)
+
     found = docs.select(
         F.col(id_col).alias("doc_id"), _reports(F.coalesce(F.col(text_col), F.lit(""))).alias("r")
     )

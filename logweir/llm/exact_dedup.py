@@ -4,9 +4,9 @@ A text's key is the 64-bit hash of its bytes. The directory starts at the smalle
 could hold the distinct texts and doubles while some bucket with more than one key is overfull; a
 bucket that fits at fewer bits keeps its smaller local depth. A bucket whose rows still exceed its
 size, because a text repeats or the doublings are used up, gets overflow pages, and its rows are
-spread over them by document id. Each (bucket, page) has one owner task, which chains the rows of
-a key and compares their bytes. Chains of one bucket's pages are then joined by their texts, one
-row for each page.
+spread over them by document id and number of the row. Each (bucket, page) has one owner task, which
+chains the rows of a key and compares their bytes. Chains of one bucket's pages are then put together
+by an aggregate over their texts, of which each task sends one row on.
 """
 
 from math import ceil, floor, log2
@@ -82,6 +82,7 @@ def exact_duplicates(docs, id_col="doc_id", text_col="text", whole_rows=False, *
         F.col(id_col).alias("doc_id"),
         ascii_lower(text).alias("norm"),
         (as_struct(docs) if whole_rows else F.lit(True)).alias("row"),
+        F.monotonically_increasing_id().alias("number"),
     ).withColumn("key", F.xxhash64("norm"))
     sizes = rows.select("key", F.octet_length("norm").cast("long").alias("n"))
     keys = written(
@@ -92,7 +93,7 @@ def exact_duplicates(docs, id_col="doc_id", text_col="text", whole_rows=False, *
     owned = (
         rows.withColumn("slot", _slot(depth))
         .join(F.broadcast(directory), "slot")  # bounded by MAX_BUCKETS and DOUBLINGS
-        .withColumn("page", F.pmod(F.xxhash64("doc_id"), F.col("pages")))
+        .withColumn("page", F.pmod(F.xxhash64("doc_id", "number"), F.col("pages")))
         .repartition("bucket", "page")
     )
     chain = Window.partitionBy("bucket", "page", "key", "norm").orderBy(F.desc_nulls_last("doc_id"))
@@ -112,24 +113,30 @@ def exact_duplicates(docs, id_col="doc_id", text_col="text", whole_rows=False, *
         "dedup-index",
     )
     single = index.where("pages = 1").withColumns(
-        {"keep_id": F.col("page_keep"), "group_size": F.col("page_size")}
+        {"keep_id": F.col("page_keep"), "group_size": F.col("page_size"), "kept": F.col("place") == 1}
     )
     paged = index.where("pages > 1")
     heads = paged.where("place = 1")
-    same = Window.partitionBy("bucket", "key", "norm")
-    where = ["bucket", "page", "key", "text_sha256"]
-    merged = heads.select(
-        *where,
-        F.max("page_keep").over(same).alias("keep_id"),
-        F.sum("page_size").over(same).alias("group_size"),
+    best = F.struct(F.col("page_keep").isNotNull(), "page_keep", (-F.col("page")).alias("page"))
+    whole = heads.groupBy("bucket", "key", "norm").agg(
+        F.max(best).alias("best"), F.sum("page_size").alias("group_size")
     )
-    found = single.unionByName(paged.join(merged, where))
-    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("place") == 1)
-    return found.withColumn("kept", kept).select(*columns, *["row"] * whole_rows)
+    whole = whole.select(
+        "bucket", "key", F.sha2("norm", 256).alias("text_sha256"), "group_size",
+        F.col("best.page_keep").alias("keep_id"), (-F.col("best.page")).alias("keep_page"),
+    )
+    # each page looks its own texts up, so the rows of a hot text are joined where they are
+    of_page = heads.select("bucket", "page", "key", "text_sha256").join(whole, ["bucket", "key", "text_sha256"])
+    found = paged.join(of_page, ["bucket", "page", "key", "text_sha256"]).withColumn(
+        "kept", (F.col("place") == 1) & (F.col("page") == F.col("keep_page"))
+    )
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256", *["row"] * whole_rows]
+    return single.select(*columns).unionByName(found.select(*columns))
 
 
 def drop_exact_duplicates(docs, id_col="doc_id", text_col="text", **limits):
-    """The rows that stay, with the columns they came with."""
+    """The rows that stay, with the columns they came with: of equal texts the row with the largest
+    id, a null id being the smallest, and one row of those that share it. Null text equals empty
+    text. An empty table gives no rows."""
     found = exact_duplicates(docs, id_col, text_col, whole_rows=True, **limits)
     return found.where("kept").select("row.*")

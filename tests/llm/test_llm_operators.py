@@ -56,6 +56,29 @@ def test_kept_rows_keep_their_columns(docs):
     assert kept.count() == len({t.translate(LOWER) for _, t, _ in rows_of(docs)})
 
 
+def test_a_hot_long_text_with_null_and_repeated_ids(make):
+    hot, other = "Hot text " * 300, "other " * 200
+    rows = [(None, hot, "a")] * 120 + [(7, hot, "a")] * 60 + [(8, other, "a")] * 40 + [(None, other, "a")] * 9
+    rows += [(None, "only nulls " * 90, "a")] * 50 + [(i, f"text {i}", "a") for i in range(100, 150)]
+    docs = make(rows).repartition(6)
+    found = exact_dedup.exact_duplicates(docs, bucket_bytes=2000, doublings=1).collect()
+    groups = defaultdict(list)
+    for i, text, _ in rows:
+        groups[text.translate(LOWER)].append(i)
+    assert len(found) == len(rows)
+    by_text = defaultdict(list)
+    for r in found:
+        by_text[r.text_sha256].append(r)
+    for text, ids in groups.items():
+        some = by_text[hashlib.sha256(text.encode()).hexdigest()]
+        best = max((i for i in ids if i is not None), default=None)
+        assert Counter(r.doc_id for r in some) == Counter(ids)
+        assert {(r.keep_id, r.group_size) for r in some} == {(best, len(ids))}
+        assert [r.doc_id for r in some if r.kept] == [best]
+    kept = exact_dedup.drop_exact_duplicates(docs, bucket_bytes=2000, doublings=1)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+
+
 # ---- mixing ----
 
 

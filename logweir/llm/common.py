@@ -1,10 +1,12 @@
 """What several operators share."""
 
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from logweir.session import work_folder
+from logweir.sources.folders import remove
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -17,8 +19,46 @@ def written(df, name):
     """The rows as a table in the cluster's shared folder: computed once, readable after any loss
     of executors, and without the lineage of what made it."""
     path = work_folder(df.sparkSession, name)
+    if _SCRATCH:
+        _SCRATCH[-1][path] = df.sparkSession
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.work_path = path
+    return table
+
+
+#: Work tables of the scratches that are open, the innermost last.
+_SCRATCH = []
+
+
+@contextmanager
+def scratch():
+    """Work tables that are written inside go at its end, but for those that `kept` is told of."""
+    tables = {}
+    _SCRATCH.append(tables)
+    try:
+        yield tables
+    finally:
+        _SCRATCH.remove(tables)
+        for path, spark in tables.items():
+            remove(spark, path)
+
+
+def kept(tables, df):
+    """A work table of a scratch that outlives it; one that is around it takes it over."""
+    spark = tables.pop(df.work_path)
+    around = [other for other in _SCRATCH if other is not tables]
+    if around:
+        around[-1][df.work_path] = spark
+    return df
+
+
+def discard(*tables):
+    """Remove work tables that nothing reads any more."""
+    for df in tables:
+        for open_ in _SCRATCH:
+            open_.pop(df.work_path, None)
+        remove(df.sparkSession, df.work_path)
 
 
 def ascii_lower(text):

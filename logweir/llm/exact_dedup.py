@@ -14,7 +14,7 @@ from math import ceil, floor, log2
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import as_struct, ascii_lower, written
+from logweir.llm.common import as_struct, ascii_lower, discard, written
 
 #: Bytes of distinct text for a bucket; grows only where the directory would pass MAX_BUCKETS.
 BUCKET_BYTES = 128 * 1024
@@ -90,6 +90,7 @@ def exact_duplicates(docs, id_col="doc_id", text_col="text", whole_rows=False, *
         "dedup-keys",
     )
     depth, directory = build_directory(keys, **limits)
+    discard(keys)
     owned = (
         rows.withColumn("slot", _slot(depth))
         .join(F.broadcast(directory), "slot")  # bounded by MAX_BUCKETS and DOUBLINGS

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import written
+from logweir.llm.common import kept, scratch, written
 
 POSITIVES = 5
 NEGATIVES = 5
@@ -301,6 +301,22 @@ def mine_negatives(
     itself; an anchor that is repeated in every column is asked once, and one id with other terms or
     labels for each. Without rows or anchors there are no rows.
     """
+    with scratch() as tables:
+        positives, found = _searched(rows, anchors, n_positives, n_negatives, steps, anchor_rows, candidate_rows)
+        kept(tables, positives)
+        for some in found:
+            kept(tables, some)
+    hits = reduce(lambda a, b: a.unionByName(b), found)
+    key = ["anchor_id", "anchor_no", "edge"]
+    positives = positives.select(*key[:2], F.col("vec_id").alias("positive_id"), F.col("score").alias("edge"))
+    return positives.join(hits, key).select(
+        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),
+        F.col("edge").alias("positive_score"), F.col("score").alias("negative_score"),
+    )
+
+
+def _searched(rows, anchors, n_positives, n_negatives, steps, anchor_rows, candidate_rows):
+    """The positives, and tables of the hits of each full window by step, as work tables."""
     anchors = anchors.where(F.col("vec_id").isNotNull()).dropDuplicates(["vec_id", "label", "terms"])
     anchors = written(anchors.withColumn("anchor_no", F.xxhash64("label", "terms")), "negatives-anchors")
     # dealt by content and by number, so equal rows are spread as well
@@ -320,13 +336,13 @@ def mine_negatives(
     reached = known.where(F.col("rank") == n_positives).select(*key, F.col("score").alias("least"))
     asked = named.join(reached, key, "left").withColumn("least", F.coalesce("least", F.lit(anything)))
     positives = written(_ranked(search(asked, _cell_positives(n_positives)), n_positives), "negatives-positives")
-    positives = positives.select(*key, F.col("vec_id").alias("positive_id"), F.col("score").alias("edge"))
+    edges = positives.select(*key, F.col("score").alias("edge"))
 
     # one window for each score that a positive has; whole percents of whole numbers, rounded up
     def percent(of, share):
         return F.ceil(of * F.lit(share).cast("decimal(20,0)") / F.lit(100).cast("decimal(20,0)")).cast("long")
 
-    windows = positives.where("edge >= 0").select(*key, "edge").distinct()
+    windows = edges.where("edge >= 0").distinct()
     found = []
     for at, step in enumerate(steps):
         open_ = windows.withColumn("least", percent(F.col("edge").cast("decimal(20,0)"), step))
@@ -337,12 +353,8 @@ def mine_negatives(
             found.append(hits)
             break
         full = hits.where(F.col("rank") == n_negatives).select(*key, "edge")
-        found.append(hits.join(full, [*key, "edge"], "left_semi"))
+        found.append(written(hits.join(full, [*key, "edge"], "left_semi"), "negatives-full"))
         windows = written(windows.join(full, [*key, "edge"], "left_anti"), "negatives-open")
         if windows.isEmpty():
             break
-    hits = reduce(lambda a, b: a.unionByName(b), found)
-    return positives.join(hits, [*key, "edge"]).select(
-        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),
-        F.col("edge").alias("positive_score"), F.col("score").alias("negative_score"),
-    )
+    return positives, found

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.llm.common import written
+from logweir.llm.common import discard, written
 
 #: Lengths of the byte n-grams, and the hashed features that they share.
 GRAMS = (1, 2, 3, 4)
@@ -210,6 +210,7 @@ def train(
         .orderBy("_lang", "_no")
         .collect()
     )
+    discard(different)
     found = np.zeros((len(rows), FEATURES), np.float32)
     for at, row in enumerate(rows):
         found[at] = np.frombuffer(zlib.decompress(row["_row"]), np.float16)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import WORD, as_struct, written
+from logweir.llm.common import WORD, as_struct, discard, written
 from logweir.operators.joins import fits_broadcast
 
 #: Relative weights of the sources in order, repeating.
@@ -166,7 +166,9 @@ def _numbered(sized):
         at = at & F.col(name).eqNullSafe(F.col(f"_{name}"))
     several = several.withColumn("_place", place).join(starts, at)
     several = several.withColumn("copy_no", (F.col("_start") + F.col("_place")).cast("long"))
-    return written(single.unionByName(several.select(*single.columns)), "mix-numbered")
+    numbered = written(single.unionByName(several.select(*single.columns)), "mix-numbered")
+    discard(copied)
+    return numbered
 
 
 def _sized(docs, id_col, text_col, source_col, *more):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import written
+from logweir.llm.common import discard, written
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
@@ -277,8 +277,11 @@ def pack(docs, tokenizer_path, id_col="doc_id", text_col="text", most=SEQUENCE_T
     """
     tokenised = written(tokenised_pieces(docs, tokenizer_path, id_col, text_col, most), "pack-pieces")
     pieces = written(ranked_by_length(tokenised), "pack-ranks")
+    discard(tokenised)
     lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-    runs = written(place_lengths(written(lengths.coalesce(1), "pack-lengths"), most).coalesce(1), "pack-runs")
+    lengths = written(lengths.coalesce(1), "pack-lengths")
+    runs = written(place_lengths(lengths, most).coalesce(1), "pack-runs")
+    discard(lengths)
     runs = runs.select(F.col("size").alias("of"), "first", "n", "seq", (F.lit(most) - F.col("gap")).alias("offset"))
     if runs.count() <= 200_000:  # some ten thousand in practice, at any number of documents
         runs = F.broadcast(runs)

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import written
+from logweir.llm.common import discard, written
 
 BUCKETS = 10_000
 #: Whole percent of the eligible documents that are drawn, and words that make a document eligible.
@@ -250,7 +250,9 @@ def importance_resample(
     scored = features.select("doc_id", "n_words", weigh(F.col("found"), gains).alias("w"))
     scored = scored.select("doc_id", "n_words", "w.*")
     scored = scored.withColumn("score", F.col("weight") + _noise(F.col("doc_id"), seed))
-    return draw(written(scored, "resample-scores"), share, least_words)
+    scored = written(scored, "resample-scores")
+    discard(features)
+    return draw(scored, share, least_words)
 
 
 def draw(scored, share=SHARE, least_words=LEAST_WORDS):

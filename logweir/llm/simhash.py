@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.llm.common import as_struct, written
+from logweir.llm.common import as_struct, discard, kept, scratch, written
 from logweir.operators.joins import bounded_join
 
 BITS = 64
@@ -105,6 +105,15 @@ def crowd_links(classes, max_bits):
     return a.join(b, same & close).select(F.col("a.word").alias("one"), F.col("b.word").alias("two"))
 
 
+def met_crowds(variants):
+    """The variants of crowded classes that classes of several crowds share. Most crowds fill their
+    variants alone; those rows go here, by an aggregate that each task begins by itself, and never
+    meet each other."""
+    here = variants.where("crowd IS NOT NULL")
+    shared = here.groupBy("variant", "rest").agg(F.min("crowd").alias("low"), F.max("crowd").alias("high"))
+    return here.join(shared.where("low < high").select("variant", "rest"), ["variant", "rest"], "left_semi")
+
+
 def close_pairs(classes, max_bits):
     """Pairs of classes of which the word differs in at most `max_bits` bits: one row a pair.
     Classes of one `crowd`, where they have one, are linked already and make no pairs."""
@@ -113,16 +122,21 @@ def close_pairs(classes, max_bits):
     # a class has many variants, so even a small table of classes is work for all tasks
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     indexed = _variants(classes.repartition(tasks, "word"), max_bits)
-    a, b = indexed.alias("a"), indexed.alias("b")
-    apart = F.col("a.crowd").isNull() | F.col("b.crowd").isNull() | (F.col("a.crowd") != F.col("b.crowd"))
     verified = (
         (F.col("a.variant") == F.col("b.variant"))
         & (F.col("a.rest") == F.col("b.rest"))
-        & (F.col("a.word") < F.col("b.word"))
         & (F.bit_count(_differs()) <= max_bits)
         & (_first_shared(max_bits) == F.col("a.variant"))
     )
-    return a.join(b, verified & apart).select(F.col("a.word").alias("one"), F.col("b.word").alias("two"))
+    ordered = F.col("a.word") < F.col("b.word")
+    pair = [F.least("a.word", "b.word").alias("one"), F.greatest("a.word", "b.word").alias("two")]
+    # a class without a crowd against every class; then crowds among themselves
+    single = indexed.where("crowd IS NULL").alias("a")
+    of_single = single.join(indexed.alias("b"), verified & (F.col("b.crowd").isNotNull() | ordered))
+    crowded = met_crowds(indexed)
+    apart = F.col("a.crowd") != F.col("b.crowd")
+    of_crowds = crowded.alias("a").join(crowded.alias("b"), verified & ordered & apart)
+    return of_single.select(*pair).unionByName(of_crowds.select(*pair))
 
 
 def _checksum(edges):
@@ -154,7 +168,9 @@ def components(nodes, edges):
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-        edges = written(small.where("u <> v").distinct(), "component-small")
+        moved = written(small.where("u <> v").distinct(), "component-small")
+        discard(edges, large)
+        edges = moved
         after = _checksum(edges)
         if after == before:
             break
@@ -166,15 +182,8 @@ def components(nodes, edges):
 
 def _labels(marked, max_bits):
     """word, root, component_id of each class of equal fingerprints."""
-    classes = written(marked.groupBy("word").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    nodes = classes.select(F.col("word").alias("node"))
-    links = written(crowd_links(classes.select("word"), max_bits), "simhash-crowds")
-    tied = links.select(F.explode(F.array("one", "two")).alias("node")).distinct()
-    crowds = components(tied, links).select(F.col("node").alias("word"), F.col("root").alias("crowd"))
-    crowded = written(classes.select("word").join(crowds, "word", "left"), "simhash-crowded")
-    pairs = close_pairs(crowded, max_bits)
-    rooted = components(nodes, links.unionByName(pairs)).withColumnRenamed("node", "word")
-    rooted = written(rooted.join(classes, "word"), "simhash-rooted")
+    with scratch() as tables:
+        rooted = kept(tables, _rooted(marked, max_bits))
     # only components of several classes are looked up, so that a root with many classes, which
     # the join splits, is the one case of a key with many rows
     alone = F.col("root") == F.col("word")
@@ -185,6 +194,19 @@ def _labels(marked, max_bits):
     return joined.select("word", "root", own.alias("component_id"))
 
 
+def _rooted(marked, max_bits):
+    """word, root, least: each class with the smallest word of its component and its smallest id."""
+    classes = written(marked.groupBy("word").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    nodes = classes.select(F.col("word").alias("node"))
+    links = written(crowd_links(classes.select("word"), max_bits), "simhash-crowds")
+    tied = links.select(F.explode(F.array("one", "two")).alias("node")).distinct()
+    crowds = components(tied, links).select(F.col("node").alias("word"), F.col("root").alias("crowd"))
+    crowded = written(classes.select("word").join(crowds, "word", "left"), "simhash-crowded")
+    pairs = close_pairs(crowded, max_bits)
+    rooted = components(nodes, links.unionByName(pairs)).withColumnRenamed("node", "word")
+    return written(rooted.join(classes, "word"), "simhash-rooted")
+
+
 def _marked(docs, id_col, text_col, shingle, seed, *more):
     return docs.select(
         F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle, seed).alias("word"), *more

@@ -6,7 +6,7 @@ they were given, whatever they are called; an empty table stays empty."""
 
 import public_tokenizers
 
-from logweir.llm.common import table, written
+from logweir.llm.common import discard, kept, scratch, table, written
 from logweir.llm.exact_dedup import drop_exact_duplicates
 from logweir.llm.mixing import mixed_documents
 from logweir.llm.packing import pack
@@ -60,7 +60,11 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    """The stages in turn; what a stage wrote goes when the next one has written its result."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as tables:
+            docs = kept(tables, written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

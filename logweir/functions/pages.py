@@ -55,14 +55,17 @@ def element_text(html, element_id):
     of a kind that is never closed after it has no text. A tag that ends in `/>` opens nothing.
     """
     opening = _opening(element_id)
+    nested = r"(?is)^<([a-z][a-z0-9]*)(?=\s)[^>]*>.*<\1(?=[\s/>])"
+
+    def text(first):
+        kind = F.regexp_extract(first, opening, 1)
+        from_there = F.substring(html, F.instr(html, first), F.length(html))
+        whole = F.when(F.regexp_like(first, F.lit(nested)), _inner(from_there, kind))
+        return _without_tags(F.coalesce(whole, first))
+
+    # a value of its own, so that the page is searched once
     first = _first_match(html, opening + r".*?</\1\s*>")
-    kind = F.regexp_extract(first, opening, 1)
-    nests = F.regexp_like(
-        F.regexp_replace(first, opening, ""), F.concat(F.lit("(?i)<"), kind, F.lit(r"(?=[\s/>])"))
-    )
-    from_there = F.substring(html, F.instr(html, first), F.length(html))
-    whole = F.when(nests, _inner(from_there, kind))
-    return _without_tags(F.coalesce(whole, first))
+    return F.get(F.transform(F.array(first), text), F.lit(0))
 
 
 def page_title(html):

@@ -111,7 +111,8 @@ def met_crowds(variants):
     meet each other."""
     here = variants.where("crowd IS NOT NULL")
     shared = here.groupBy("variant", "rest").agg(F.min("crowd").alias("low"), F.max("crowd").alias("high"))
-    return here.join(shared.where("low < high").select("variant", "rest"), ["variant", "rest"], "left_semi")
+    several = shared.where("low < high").select("variant", "rest")
+    return here.join(several.hint("merge"), ["variant", "rest"], "left_semi")
 
 
 def close_pairs(classes, max_bits):
@@ -130,12 +131,14 @@ def close_pairs(classes, max_bits):
     )
     ordered = F.col("a.word") < F.col("b.word")
     pair = [F.least("a.word", "b.word").alias("one"), F.greatest("a.word", "b.word").alias("two")]
-    # a class without a crowd against every class; then crowds among themselves
+    # a class without a crowd against every class; then crowds among themselves. Spark takes the
+    # variants for as small as their classes and would broadcast them
     single = indexed.where("crowd IS NULL").alias("a")
-    of_single = single.join(indexed.alias("b"), verified & (F.col("b.crowd").isNotNull() | ordered))
+    every = indexed.alias("b").hint("merge")
+    of_single = single.join(every, verified & (F.col("b.crowd").isNotNull() | ordered))
     crowded = met_crowds(indexed)
     apart = F.col("a.crowd") != F.col("b.crowd")
-    of_crowds = crowded.alias("a").join(crowded.alias("b"), verified & ordered & apart)
+    of_crowds = crowded.alias("a").join(crowded.alias("b").hint("merge"), verified & ordered & apart)
     return of_single.select(*pair).unionByName(of_crowds.select(*pair))
 
 

@@ -25,7 +25,7 @@ from logweir.llm.common import discard, written
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 #: Chunks and runs whose ids a worker remembers; ids don't depend on it.
-KNOWN_CHUNKS, KNOWN_RUNS = 500_000, 1_000_000
+KNOWN_CHUNKS, KNOWN_RUNS = 1_500_000, 1_500_000
 #: Signs of ASCII that are neither letters, digits nor white space.
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 RANK_ROWS = 200_000

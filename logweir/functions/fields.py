@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from logweir.fixed_values import FILE_DAY_FORMAT, FILE_DAY_PATTERN, SOURCE_DIR_PATTERN
 
 
-def _pieces(line, sep):
+def pieces(line, sep):
     """The line cut at a literal separator. Splitting at one plain or escaped character needs no
     regular expression, which would be compiled again for every row."""
     if len(sep) == 1:
@@ -17,13 +17,13 @@ def _pieces(line, sep):
 
 def split_fields(line, names, sep="\t"):
     """One string column per name; missing fields are NULL and extra ones are left out."""
-    pieces = _pieces(line, sep)
-    return [F.get(pieces, F.lit(at)).alias(name) for at, name in enumerate(names)]
+    cut = pieces(line, sep)
+    return [F.get(cut, F.lit(at)).alias(name) for at, name in enumerate(names)]
 
 
 def field_count(line, sep="\t"):
     """Number of fields on a line, 0 for no line."""
-    return F.coalesce(F.size(_pieces(line, sep)), F.lit(0))
+    return F.coalesce(F.size(pieces(line, sep)), F.lit(0))
 
 
 def source_dir(path, pattern=SOURCE_DIR_PATTERN):

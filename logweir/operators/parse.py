@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.fixed_values import QUERY_LOG_FIELDS
-from logweir.functions import field_count, split_fields
+from logweir.functions.fields import pieces
 from logweir.schemas import CORRUPT
 from logweir.sources.messages import BODY
 
+PIECES = "_pieces"
+
 
 def parse_query_log(df, names=QUERY_LOG_FIELDS, log="log", sep="\t", keep=(), count_as=None):
     """The `keep` columns, then one string column per delimited field of the line.
@@ -15,10 +17,14 @@ def parse_query_log(df, names=QUERY_LOG_FIELDS, log="log", sep="\t", keep=(), co
     `count_as` adds the number of fields under that name, to tell apart lines that a separator
     inside a value has shifted.
     """
-    columns = [*keep, *split_fields(F.col(log), names, sep)]
+    # A generated column is computed once. A plain one is cut again for every field where the fields
+    # are only used under a condition.
+    cut = df.select(*keep, F.explode(F.array(pieces(F.col(log), sep))).alias(PIECES))
+    columns = [F.col(f"`{name}`") for name in cut.columns[:-1]]
+    columns += [F.get(PIECES, F.lit(at)).alias(name) for at, name in enumerate(names)]
     if count_as:
-        columns.append(field_count(F.col(log), sep).alias(count_as))
-    return df.select(*columns)
+        columns.append(F.coalesce(F.size(PIECES), F.lit(0)).alias(count_as))
+    return cut.select(*columns)
 
 
 def other_fields(text, schema):

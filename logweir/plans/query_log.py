@@ -4,7 +4,8 @@ One pass over the files does it all. Counting unusable lines, filtering on the m
 the envelope, the write, and the next checkpoint's two maxima are one plan. The maxima are
 observed on the rows being written, so the checkpoint cannot run ahead of the table. Only when
 unusable lines were seen is there a second pass, over the days that had them. With lateness the
-lines that a run can need are parsed into a work folder first, and all else reads them there.
+lines that a run can need are parsed into a work folder first, and all else reads them there. Those
+below the mark have their content id there; only the ones whose id is new become rows.
 
 `run_query_log_stream` takes files as a stream instead of days, into the same table.
 """
@@ -27,6 +28,7 @@ from logweir.fixed_values import (
 )
 from logweir.functions import canonical_body, content_id, field_count, file_day
 from logweir.operators.envelope import envelope, with_dense_guid
+from logweir.operators.joins import bounded_join
 from logweir.operators.parse import parse_query_log
 from logweir.operators.watermark import latest_checkpoint, next_checkpoint_columns, since, unseen
 from logweir.schemas import CORRUPT, INGEST_CHECKPOINT, QUERY_LOG_OUT, QUERY_LOG_QUARANTINE
@@ -44,6 +46,9 @@ from logweir.sources.tables import read_table, table_exists
 
 TIME = "@timestamp"
 PATH = "input_file_path"
+LINE_ID = "line_id"
+#: What a line's content id is made of.
+CONTENT = ["TimeGenerated", *QUERY_LOG_FIELDS, PATH]
 DAY = timedelta(days=1)
 
 
@@ -154,9 +159,8 @@ def _output(lines, job, now):
     parsed = parse_query_log(
         lines.select(F.col(TIME).alias("TimeGenerated"), "log", PATH), keep=["TimeGenerated", PATH]
     )
-    ordered = parsed.select("TimeGenerated", *QUERY_LOG_FIELDS, PATH)
     rows = envelope(
-        ordered,
+        parsed.select(*CONTENT),
         time="TimeGenerated",
         source=PATH,
         tenant=job.tenant,
@@ -179,21 +183,35 @@ def _numbered(spark, rows, job, mark, run_id):
     return with_dense_guid(rows, stored=others.select("MetadataLogGuid"))
 
 
-def _late(spark, lines, job, now, mark, run_id, folder):
-    """Lines from the lateness window below the mark that earlier runs have not stored."""
+def _with_line_id(lines, job, late):
+    """The lines, with the content id of the `late` ones as bytes."""
+    parsed = parse_query_log(
+        lines.withColumn("TimeGenerated", F.col(TIME)), keep=[*lines.columns, "TimeGenerated"]
+    )
+    line_id = F.unhex(content_id(CONTENT, job.bits))
+    return parsed.select(*lines.columns, F.when(late, line_id).alias(LINE_ID))
+
+
+def _late(spark, lines, job, mark, run_id, folder):
+    """Of the lines that have an id, those that earlier runs have not stored.
+
+    Ids of lines and of stored rows meet in one grouping, without what they are made of; only the
+    new ids are looked up in the lines again."""
     floor = mark - job.allowed_lateness
-    window = (F.col(TIME) > F.lit(floor)) & (F.col(TIME) <= F.lit(mark))
-    rows = _output(lines.where(window), job, now)
-    # each line is split and hashed once; the look-up sees ids and not what they are made of
-    rows.write.parquet(folder)
-    rows = spark.read.schema(rows.schema).parquet(folder)
     stored = read_table(spark, job.table, job.fmt, _stored(QUERY_LOG_OUT, "log_day date"))
     known = stored.where(
         (F.col("ingest_run") != run_id)
         & (F.col("log_day") >= F.lit(floor.date()))
         & (F.col("MetadataLogTimeGenerated") > F.lit(floor))
     )
-    return unseen(rows, known)
+    late = lines.where(F.col(LINE_ID).isNotNull())
+    ids = late.select(LINE_ID, F.lit(True).alias("new")).unionByName(
+        known.select(F.unhex("MetadataLogId").alias(LINE_ID), F.lit(False).alias("new"))
+    )
+    new = ids.groupBy(LINE_ID).agg(F.bool_and("new").alias("new")).where("new").select(LINE_ID)
+    new.write.parquet(folder)
+    new = spark.read.schema(new.schema).parquet(folder)
+    return bounded_join(late, new, [LINE_ID], "left_semi")
 
 
 def _quarantine_rows(lines, job):
@@ -214,7 +232,8 @@ def _quarantine(spark, lines, job, run_id, first_bad, last_bad):
     in_range = day.isNull()
     if first_bad:
         in_range = in_range | day.between(F.lit(first_bad), F.lit(last_bad))
-    rows = _quarantine_rows(lines.where(in_range), job)
+    # the day is cut out of the paths of unusable lines alone
+    rows = _quarantine_rows(lines.where(_unusable(job).isNotNull()).where(in_range), job)
     if table_exists(spark, job.quarantine, job.fmt):
         stored = read_table(spark, job.quarantine, job.fmt, _stored(QUERY_LOG_QUARANTINE))
         known = stored.where(F.col("ingest_run") != run_id)
@@ -258,13 +277,13 @@ def run_query_log_etl(spark, job, last_day, now=None):
     if mark and job.allowed_lateness and table_exists(spark, job.table, job.fmt):
         # lines that earlier runs have taken for good need not be kept
         folder = work_folder(spark, "late")
-        needed = reason.isNotNull() | (F.col(TIME) > F.lit(mark - job.allowed_lateness))
-        observed.where(needed).write.parquet(f"{folder}/lines")
-        lines = spark.read.schema(lines.schema).parquet(f"{folder}/lines")
-        usable = lines.where(reason.isNull())
-        rows = _output(since(usable, TIME, mark), job, now)
-        late = _late(spark, usable, job, now, mark, run_id, f"{folder}/rows")
-        rows = rows.unionByName(late)
+        in_reach = F.col(TIME) > F.lit(mark - job.allowed_lateness)
+        late = reason.isNull() & in_reach & (F.col(TIME) <= F.lit(mark))
+        needed = _with_line_id(observed.where(reason.isNotNull() | in_reach), job, late)
+        needed.write.parquet(f"{folder}/lines")
+        lines = spark.read.schema(needed.schema).parquet(f"{folder}/lines")
+        late = _late(spark, lines, job, mark, run_id, f"{folder}/ids")
+        rows = _output(since(lines.where(reason.isNull()), TIME, mark).unionByName(late), job, now)
     else:
         rows = _output(since(observed.where(reason.isNull()), TIME, mark), job, now)
     try:

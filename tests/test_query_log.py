@@ -355,3 +355,21 @@ def test_late_runs_parse_files_once_and_leave_no_work_folder(spark, folder, monk
     assert not os.path.exists(folders[0])
     assert sorted(r.raw for r in spark.read.parquet(logs.job.quarantine).collect()) == ["{also", "{broken"]
     assert [r[0] for r in stored(logs)] == ["a", "late"]
+
+
+def test_a_late_run_makes_rows_of_new_lines_only(spark, folder, monkeypatch):
+    """Lines that are stored already, or twice in the files, are told by their ids."""
+    import logweir.plans.query_log as plan
+
+    logs = Logs(spark, folder, allowed_lateness=timedelta(days=2))
+    old = [line(f"2024-01-02T10:0{at}:00Z", f"a{at}") for at in range(5)]
+    logs.add("AVDP1", "01022024", *old, "{broken")
+    logs.run()
+    late = line("2024-01-02T09:00:00Z", "late")
+    logs.add("AVDP2", "01022024", late, late, line("2024-01-02T11:00:00Z", "new"))
+    made, output = [], plan._output
+    monkeypatch.setattr(plan, "_output", lambda lines, *a: made.append(lines.count()) or output(lines, *a))
+    assert logs.run().n_rows == 3
+    assert logs.run().n_rows == 0
+    assert made == [3, 0]
+    assert [r[0] for r in stored(logs)] == ["a0", "a1", "a2", "a3", "a4", "late", "late", "new"]
